@@ -17,11 +17,13 @@ BUCKET_MINUTES = 60
 
 
 def carry(df: DataFrame, keys: Sequence[str], ts: str, values: dict[str, Column], order: Sequence = (),
-          backward: bool = False, bucket_minutes: int = BUCKET_MINUTES, inclusive: bool = True) -> DataFrame:
+          backward: bool = False, bucket_minutes: int = BUCKET_MINUTES, inclusive: bool = True,
+          peers: bool = False) -> DataFrame:
     """Last (or, backward, next) non-null value at every row of a key.
 
     ``order`` breaks ties between rows with the same ``ts``.  Keys must not be NULL.
-    ``inclusive=False`` looks only at the other rows before (after) this one.
+    ``inclusive=False`` looks only at the other rows before (after) this one; ``peers=True`` looks
+    at every row of the same instant as well.
     """
     order = [col(o) for o in order]
     df = df.withColumn("_b", floor_minutes(ts, bucket_minutes))
@@ -35,6 +37,9 @@ def carry(df: DataFrame, keys: Sequence[str], ts: str, values: dict[str, Column]
         frame = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
         pick, edge = F.last, F.max_by
         across = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    if peers:
+        frame = (w.rangeBetween(Window.currentRow, Window.unboundedFollowing) if backward
+                 else w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
 
     rank = F.struct(*by)
     tails = df.groupBy(*keys, "_b").agg(

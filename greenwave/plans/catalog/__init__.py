@@ -1,3 +1,3 @@
 """All named queries, by area."""
 
-from greenwave.plans.catalog import counts, rollups  # noqa: F401
+from greenwave.plans.catalog import counts, cycles, rollups  # noqa: F401
