@@ -54,7 +54,12 @@ def densify(df: DataFrame, keys: Sequence[str], period: str, lo, hi, step: Colum
     return made.select(*out)
 
 
-ONE = F.lit  # readable step for integer periods
+def densify_seen(df: DataFrame, keys: Sequence[str], period: str, fill: dict | None = None) -> DataFrame:
+    """Add, for every key, the periods that occur anywhere in the data."""
+    seen = periods_seen(df, period)
+    numbered = df.withColumn("_i", F.array_position(seen, F.col(period)).cast("int")).drop(period)
+    dense = densify(numbered, keys, "_i", F.lit(1), F.size(seen), F.lit(1), fill)
+    return dense.withColumn(period, F.element_at(seen, F.col("_i"))).drop("_i")
 
 
 def month_step() -> Column:

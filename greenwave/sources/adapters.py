@@ -60,14 +60,16 @@ class Tables:
         code = F.lit(None).cast("int")
         for s, c in codes.items():
             code = F.when(slot == s, c).otherwise(code)
-        code = (F.when(slot == 18, F.when(k % 2 == 0, 9).otherwise(0))
-                .when(slot == 19, F.when(k % 3 == 0, 89).when(k % 3 == 1, 131).otherwise(150))
-                .otherwise(code))
+        m, n = k % 12, F.floor(k / 12) % 4
+        rare = (F.when(m < 3, 89).when(m < 6, 131).when(m < 8, 150).when(m == 8, 134 + n).when(m == 9, 300 + n)
+                .when(m == 10, 612 + n).otherwise(F.when(n % 2 == 0, 84).otherwise(83)))
+        code = (F.when(slot == 18, F.when(k % 3 == 0, 9).when(k % 3 == 1, 0).otherwise(10))
+                .when(slot == 19, rare).otherwise(code))
         c = F.col("EventCode")
         param = (F.when(c == 31, F.when(k % 3 == 0, 2).otherwise(1))
-                 .when(c == 132, 60 + k % 3 * 30).when(c == 131, k % 4).when(c == 150, k % 7)
+                 .when(c == 132, F.when(F.col("SignalID") % 3 == 0, 0).otherwise(60 + k % 3 * 30)).when(c == 131, k % 4).when(c == 150, k % 7)
                  .when(c == 502, k * 2 % 101).when(c == 503, 100 + k).when(c == 173, k % 6)
-                 .when(c.isin(81, 82, 89, 90), k % 4 + 1).otherwise((k % 4 + 1) * 2))
+                 .when(c.isin(81, 82, 83, 84, 89, 90), k % 4 + 1).otherwise((k % 4 + 1) * 2))
         return (self._events.withColumn("EventCode", code.cast("int"))
                 .select("SignalID", "Timestamp", "EventCode", param.cast("int").alias("EventParam"),
                         F.col("Timestamp").cast("date").alias("date")))
@@ -159,6 +161,24 @@ class Tables:
             F.when(r == 0, "Advanced Count").when(r == 1, "Stop Bar Presence")
             .when(r == 2, "Advanced Count, Advanced Speed").otherwise("Exit").alias("DetectionTypeDesc"))
 
+    @cached_property
+    def _presses(self) -> DataFrame:
+        offset = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1995-01-02").cast("date"))
+        d = F.date_add(F.lit("2024-01-01").cast("date"), F.floor(offset / 5).cast("int"))
+        return self.base("lineitem").select(
+            _block("l_suppkey", 5).alias("SignalID"), F.col("l_linenumber").alias("Detector"), _phase().alias("CallPhase"),
+            d.alias("Date"), (d.cast("timestamp_ntz") + day_interval(hours=(F.col("l_orderkey") % 24).cast("int")))
+            .cast("timestamp_ntz").alias("Hour"), "l_quantity")
+
+    @cached_property
+    def ped_daily(self) -> DataFrame:
+        return self._presses.groupBy("SignalID", "Detector", "CallPhase", "Date").agg(F.sum("l_quantity").alias("papd"))
+
+    @cached_property
+    def ped_hourly(self) -> DataFrame:
+        return self._presses.groupBy("SignalID", "Detector", "CallPhase", "Date", "Hour").agg(
+            (F.sum("l_quantity") * 8).alias("paph"))
+
     @cached_property
     def travel_times(self) -> DataFrame:
         return self._line.select(
