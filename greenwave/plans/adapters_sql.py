@@ -65,9 +65,18 @@ ADAPTERS: dict[str, str] = {
         CAST(DATE '2024-01-01' + CAST(date_diff('day', DATE '1995-01-02', CAST(l_shipdate AS DATE)) // 5 AS INTEGER) AS DATE) AS Date, l_orderkey % 24 AS h FROM lineitem""",
     "ped_daily": "SELECT SignalID, Detector, CallPhase, Date, sum(l_quantity) AS papd FROM presses GROUP BY ALL",
     "ped_hourly": "SELECT SignalID, Detector, CallPhase, Date, CAST(Date AS TIMESTAMP) + to_hours(h) AS Hour, sum(l_quantity) * 8 AS paph FROM presses GROUP BY ALL",
-    "travel_times": """SELECT 'Corridor ' || CAST(l_suppkey // 10 AS VARCHAR) AS Corridor, Detector AS tmc_code, hour_ts AS Hour,
+    "travel_times": """SELECT 'Corridor ' || CAST(l_suppkey // 10 AS VARCHAR) AS Corridor, CAST(l_suppkey // 5 AS VARCHAR) || '-' || CAST(Detector AS VARCHAR) AS tmc_code, hour_ts AS Hour,
         1.0 + l_tax * 10 AS miles, CAST(30 + Detector AS DOUBLE) AS reference_speed, l_quantity / 5 + 1.0 AS travel_time_minutes,
         l_quantity + 10.0 AS speed FROM line""",
+    "segments": """SELECT DISTINCT CAST(l_suppkey // 5 AS VARCHAR) || '-' || CAST(Detector AS VARCHAR) AS tmc_code, 'Corridor ' || CAST(l_suppkey // 10 AS VARCHAR) AS Corridor,
+        CASE WHEN Detector = 7 THEN 'None' ELSE 'Sub ' || CAST(l_suppkey // 5 AS VARCHAR) END AS Subcorridor, CAST(0.5 + Detector * 0.25 AS DOUBLE) AS miles FROM line""",
+    "delay_costs": f"""SELECT 'Zone ' || CAST(o_custkey // 100 % 5 AS VARCHAR) AS Zone, 'Corridor ' || CAST(o_custkey // 100 AS VARCHAR) AS Corridor,
+        CAST({SHIFTED.format(c='o_orderdate')} AS TIMESTAMP) + to_hours(o_orderkey % 24) AS date, o_totalprice AS delay_cost FROM orders""",
+    "health_input": """SELECT Zone_Group, Zone, Corridor, Subcorridor, Month, SignalID % 6 + 1 AS Context, round(d * 12, 4) AS du, round(x * 16, 4) AS pau, round(0.92::DOUBLE + x, 4) AS cu,
+        CASE WHEN s % 5 <> 0 THEN round(d * 14, 4) END AS cctv, CASE WHEN s % 3 <> 0 THEN n % 12 END AS flash_events, CASE WHEN s % 7 <> 0 THEN round(0.9::DOUBLE + d * 4, 4) END AS pr,
+        round(q * 6, 4) AS pd, round(x * 5, 4) AS sf_freq, CASE WHEN s % 11 <> 0 THEN round(1 + d * 10, 4) END AS tti, round(1 + d * 10 + x * 3, 4) AS pti,
+        CASE WHEN s % 4 <> 0 THEN round(q / 5, 4) END AS cri, round(q * 18, 4) AS kabco, round(0.8::DOUBLE + d * 6, 4) AS rsi, round(x * 15, 4) AS bpsi
+        FROM (SELECT SignalID, CAST(date_trunc('month', Date) AS DATE) AS Month, avg(l_discount) AS d, avg(l_tax) AS x, avg(l_quantity) AS q, count(*) AS n, sum(Detector) AS s FROM line GROUP BY ALL) JOIN corridors USING (SignalID)""",
     "corridors": """SELECT CAST(s_suppkey // 5 + 1 AS INTEGER) AS SignalID, r_name AS Zone_Group, n_name AS Zone,
         'Corridor ' || CAST(s_suppkey // 10 AS VARCHAR) AS Corridor, 'Sub ' || CAST(s_suppkey // 5 AS VARCHAR) AS Subcorridor,
         min(s_name) AS Name, CASE WHEN (s_suppkey // 5 + 1) % 4 = 0 THEN DATE '2024-01-20' ELSE DATE '2000-01-01' END AS "Asof",

@@ -1,3 +1,3 @@
 """All named queries, by area."""
 
-from greenwave.plans.catalog import counts, cycles, ped_uptime, rollups, wide  # noqa: F401
+from greenwave.plans.catalog import counts, cycles, ped_uptime, rollups, travel, wide  # noqa: F401

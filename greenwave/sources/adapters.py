@@ -183,12 +183,47 @@ class Tables:
     def travel_times(self) -> DataFrame:
         return self._line.select(
             F.concat(F.lit("Corridor "), F.floor(F.col("l_suppkey") / 10).cast("string")).alias("Corridor"),
-            F.col("Detector").alias("tmc_code"), F.col("hour").alias("Hour"),
+            F.concat(F.floor(F.col("l_suppkey") / 5).cast("string"), F.lit("-"), F.col("Detector").cast("string")).alias("tmc_code"),
+            F.col("hour").alias("Hour"),
             (1.0 + F.col("l_tax") * 10).alias("miles"),
             (30 + F.col("Detector")).cast("double").alias("reference_speed"),
             (F.col("l_quantity") / 5 + 1.0).alias("travel_time_minutes"),
             (F.col("l_quantity") + 10.0).alias("speed"))
 
+    @cached_property
+    def segments(self) -> DataFrame:
+        g = F.floor(F.col("l_suppkey") / 5)
+        return self._line.select(
+            F.concat(g.cast("string"), F.lit("-"), F.col("Detector").cast("string")).alias("tmc_code"),
+            F.concat(F.lit("Corridor "), F.floor(F.col("l_suppkey") / 10).cast("string")).alias("Corridor"),
+            F.when(F.col("Detector") == 7, "None").otherwise(F.concat(F.lit("Sub "), g.cast("string"))).alias("Subcorridor"),
+            (0.5 + F.col("Detector") * 0.25).cast("double").alias("miles")).distinct()
+
+    @cached_property
+    def delay_costs(self) -> DataFrame:
+        day0 = F.date_add(F.col("o_orderdate").cast("date"), DAY_SHIFT)
+        g = F.floor(F.col("o_custkey") / 100)
+        return self.base("orders").select(
+            F.concat(F.lit("Zone "), (g % 5).cast("string")).alias("Zone"), F.concat(F.lit("Corridor "), g.cast("string")).alias("Corridor"),
+            (day0.cast("timestamp_ntz") + day_interval(hours=(F.col("o_orderkey") % 24).cast("int"))).cast("timestamp_ntz").alias("date"),
+            F.col("o_totalprice").alias("delay_cost"))
+
+    @cached_property
+    def health_input(self) -> DataFrame:
+        c = self.corridors.select("SignalID", "Zone_Group", "Zone", "Corridor", "Subcorridor")
+        g = self._line.withColumn("Month", month_start("Date")).groupBy("SignalID", "Month").agg(
+            F.avg("l_discount").alias("d"), F.avg("l_tax").alias("x"), F.avg("l_quantity").alias("q"), F.count(F.lit(1)).alias("n"),
+            F.sum("Detector").alias("s"))
+        d, x, q, n, s = (F.col(k) for k in "dxqns")
+        return g.join(c, "SignalID").select(
+            "Zone_Group", "Zone", "Corridor", "Subcorridor", "Month", (F.col("SignalID") % 6 + 1).alias("Context"),
+            F.round(d * 12, 4).alias("du"), F.round(x * 16, 4).alias("pau"), F.round(0.92 + x, 4).alias("cu"),
+            F.when(s % 5 != 0, F.round(d * 14, 4)).alias("cctv"), F.when(s % 3 != 0, n % 12).alias("flash_events"),
+            F.when(s % 7 != 0, F.round(0.9 + d * 4, 4)).alias("pr"), F.round(q * 6, 4).alias("pd"), F.round(x * 5, 4).alias("sf_freq"),
+            F.when(s % 11 != 0, F.round(1 + d * 10, 4)).alias("tti"), F.round(1 + d * 10 + x * 3, 4).alias("pti"),
+            F.when(s % 4 != 0, F.round(q / 5, 4)).alias("cri"), F.round(q * 18, 4).alias("kabco"), F.round(0.8 + d * 6, 4).alias("rsi"),
+            F.round(x * 15, 4).alias("bpsi"))
+
     # ---- dimensions ---------------------------------------------------------
     @cached_property
     def corridors(self) -> DataFrame:
