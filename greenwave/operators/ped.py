@@ -79,12 +79,11 @@ def ped_input_uptime(papd: DataFrame, paph: DataFrame, corridors: DataFrame, sta
     dense = dense.join(known, "SignalID", "left").where(
         F.col("Date") >= F.greatest(start, F.coalesce("Asof", first_value(daily, "Date")))).drop("Asof")
     scored = dense.join(low_press_probability(dense), [*INPUT, "weekday"], "left")
-    # a run's probability is the product over its days; NULL if a day has none, zero if one is zero
-    runs = scored.where("streak_id is not null").groupBy(*INPUT, "streak_id").agg(
-        F.when((F.count_if(F.col("p0").isNull()) == 0) & (F.count_if(F.col("papd").isNull()) == 0),
-               F.when(F.count_if(F.col("p0") <= 0) > 0, F.lit(0.0))
-               .otherwise(F.exp(F.sum(F.log(F.when(F.col("p0") > 0, F.col("p0"))))))).alias("_p"))
-    pz = scored.join(runs, [*INPUT, "streak_id"], "left")
+    # a run's probability is the product over its days (few per input): NULL if a day has none, 0 if one is 0
+    run = Window.partitionBy(*INPUT, "streak_id")
+    product = F.when(F.count_if(F.col("p0") <= 0).over(run) > 0, F.lit(0.0)).otherwise(
+        F.exp(F.sum(F.log(F.when(F.col("p0") > 0, F.col("p0")))).over(run)))
+    pz = scored.withColumn("_p", F.when(F.count_if(F.col("p0").isNull()).over(run) == 0, product))
     problow = F.when(F.col("streak_id").isNull(), F.lit(0.0)).otherwise(1 - F.col("_p"))
     out = pz.withColumn("problow", problow).where(F.col("Date") >= calc)
     out = out.join(too_high(paph, None), [*INPUT, "Date"], "left").withColumn("toohigh", F.coalesce("toohigh", F.lit(False)))

@@ -62,8 +62,9 @@ def outstanding_by_month(daily: DataFrame, param: str, carry_all: bool = False)
     place = ["Zone_Group", "Corridor"]
     month = daily.groupBy(*place, param, tp.month_start("Date").alias("Month")).agg(
         F.sum("Reported").alias("Reported"), F.sum("Resolved").alias("Resolved"),
-        F.max_by(F.struct("cum_Reported", "cum_Resolved", "Outstanding"), "Date").alias("_last"))
-    month = month.select(*place, param, "Month", "Reported", "Resolved", "_last.*")
+        # several zones can share a corridor name: on a shared last day the larger backlog counts
+        F.max(F.struct("Date", "cum_Reported", "cum_Resolved", "Outstanding")).alias("_last"))
+    month = month.select(*place, param, "Month", "Reported", "Resolved", "_last.*").drop("Date")
     grid = month.select(*place).distinct().withColumn(param, F.explode(periods_seen(month, param))).withColumn(
         "Month", F.explode(periods_seen(month, "Month")))
     keys = [*place, param]

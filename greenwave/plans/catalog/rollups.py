@@ -148,9 +148,9 @@ register("r11_cor_monthly_detector_uptime", lambda t: ru.cor_detector_uptime(avg
 # ---- generic periods, group sets, quarters ----------------------------------
 register("r1_corridor_means", lambda t: ru.corridor_means(t.metrics_daily, t.corridors, "uptime", "Date", "all"),
          rs.corridor_means("SELECT * FROM metrics_daily", "uptime", "Date", '"all"'), "uptime all delta")
-EXTRA = {"Two Regions": ("Zone_Group", ("ASIA", "EUROPE")), "Asia": ("Zone_Group", ("ASIA",)), "Pair": ("Zone", ("CHINA", "JAPAN"))}
+EXTRA = {"Two Regions": ("Zone_Group", ("ASIA", "EUROPE")), "Asia": ("Zone_Group", ("ASIA",)), "Pair": ("Zone", ("NATION_1", "NATION_2"))}
 EXTRA_SQL = ("CASE WHEN Zone_Group IN ('ASIA', 'EUROPE') THEN 'Two Regions' END, CASE WHEN Zone_Group = 'ASIA' THEN 'Asia' END, "
-             "CASE WHEN Zone IN ('CHINA', 'JAPAN') THEN 'Pair' END")
+             "CASE WHEN Zone IN ('NATION_1', 'NATION_2') THEN 'Pair' END")
 _mv = rs.monthly_avg_by_day(f"SELECT * FROM metrics_daily WHERE {rs.MIDWEEK}", "vpd")
 register("r2_overlapping_groups", lambda t: ru.cor_monthly_avg_by_day(ru.monthly_avg_by_day(midweek(t.metrics_daily), "vpd"), t.corridors, "vpd", extra=EXTRA),
          rs.corridor_rollup(_mv, "vpd", "Month", extra=EXTRA_SQL), "vpd delta")

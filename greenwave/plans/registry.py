@@ -34,7 +34,7 @@ def register(name: str, plan: Callable[[Tables], DataFrame], sql: str | None = N
         raise ValueError(f"query {name} is registered twice")
     if sql is not None:
         body = with_adapters(sql, extra)
-        cols = f.split()
+        cols = f.split('|') if '|' in f else f.split()
         if cols:
             swaps = ", ".join(f'round("{c}" + {OFF_EDGE}, {digits}) AS "{c}"' for c in cols)
             body = f"SELECT * REPLACE ({swaps}) FROM (\n{body}\n) rounded"
