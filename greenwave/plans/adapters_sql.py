@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from greenwave.sources.adapters import EVENT_SLOTS
+
 PHASE = "CASE l_linenumber % 4 WHEN 0 THEN 2 WHEN 1 THEN 4 WHEN 2 THEN 6 ELSE 8 END"
 WEEK = "CAST(trunc(date_diff('day', DATE '2016-12-25', {d}) / 7.0) AS INTEGER)"
 DOW = "CAST(dayofweek({d}) + 1 AS INTEGER)"
@@ -18,21 +20,16 @@ def dow(d: str) -> str:
     return DOW.format(d=d)
 
 
+def _slot(i: int) -> str:
+    return f"[{', '.join(str(s[i]) for s in EVENT_SLOTS)}][event_id % {len(EVENT_SLOTS)} + 1]"
+
+
 ADAPTERS: dict[str, str] = {
     "ev0": """SELECT event_id, ts, event_type, value, user_id, CAST(user_id // 5 + 1 AS INTEGER) AS SignalID,
         TIMESTAMP '2024-01-01 00:00:00' + to_microseconds(date_diff('microsecond', TIMESTAMP '2024-01-01 00:00:00', ts) // 10) AS "Timestamp",
         CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k FROM events""",
-    "ev1": """SELECT *, CASE event_id % 20 WHEN 0 THEN 1 WHEN 1 THEN 82 WHEN 2 THEN 81 WHEN 3 THEN 82 WHEN 4 THEN 81
-        WHEN 5 THEN 8 WHEN 6 THEN 9 WHEN 7 THEN 90 WHEN 8 THEN 45 WHEN 9 THEN 21 WHEN 10 THEN 22 WHEN 11 THEN 31
-        WHEN 12 THEN 1 WHEN 13 THEN 132 WHEN 14 THEN 173 WHEN 15 THEN 502 WHEN 16 THEN 503 WHEN 17 THEN 4
-        WHEN 18 THEN (CASE k % 3 WHEN 0 THEN 9 WHEN 1 THEN 0 ELSE 10 END)
-        ELSE (CASE WHEN k % 12 < 3 THEN 89 WHEN k % 12 < 6 THEN 131 WHEN k % 12 < 8 THEN 150 WHEN k % 12 = 8 THEN 134 + k // 12 % 4
-          WHEN k % 12 = 9 THEN 300 + k // 12 % 4 WHEN k % 12 = 10 THEN 612 + k // 12 % 4 WHEN k // 12 % 2 = 0 THEN 84 ELSE 83 END) END AS EventCode FROM ev0""",
-    "controller_events": """SELECT SignalID, "Timestamp", CAST(EventCode AS INTEGER) AS EventCode,
-        CAST(CASE WHEN EventCode = 31 THEN (CASE WHEN k % 3 = 0 THEN 2 ELSE 1 END) WHEN EventCode = 132 THEN (CASE WHEN SignalID % 3 = 0 THEN 0 ELSE 60 + k % 3 * 30 END)
-          WHEN EventCode = 131 THEN k % 4 WHEN EventCode = 150 THEN k % 7 WHEN EventCode = 502 THEN k * 2 % 101
-          WHEN EventCode = 503 THEN 100 + k WHEN EventCode = 173 THEN k % 6 WHEN EventCode IN (81, 82, 83, 84, 89, 90) THEN k % 4 + 1
-          ELSE (k % 4 + 1) * 2 END AS INTEGER) AS EventParam, CAST("Timestamp" AS DATE) AS date FROM ev1""",
+    "controller_events": f"""SELECT SignalID, "Timestamp", EventCode, CAST(CASE WHEN EventCode = 132 AND SignalID % 3 = 0 THEN 0 ELSE a + s * (k * m % d) END AS INTEGER) AS EventParam,
+        CAST("Timestamp" AS DATE) AS date FROM (SELECT *, {_slot(0)} AS EventCode, {_slot(1)} AS a, {_slot(2)} AS s, {_slot(3)} AS m, {_slot(4)} AS d FROM ev0)""",
     "ramp_events": """SELECT SignalID, "Timestamp", CASE event_type WHEN 'click' THEN 1058 WHEN 'view' THEN 1371
         WHEN 'purchase' THEN 1372 WHEN 'signup' THEN 1373 ELSE 1013 END AS EventCode, k % 60 AS EventParam FROM ev0""",
     "camera_log": """SELECT 'CAM-' || CAST(user_id // 2 AS VARCHAR) AS CameraID, ts AS "Timestamp", CAST(ts AS DATE) AS Date,

@@ -16,6 +16,27 @@ from greenwave.functions.timeparts import day_interval, month_start
 DAY_SHIFT = 9131  # 25 years, so that weeks count from the week origin
 
 
+# Fixed event codes of the 20 regular slots; slots 18 and 19 rotate through rarer ones.
+REGULAR_CODES = (1, 82, 81, 82, 81, 8, 9, 90, 45, 21, 22, 31, 1, 132, 173, 502, 503, 4)
+ROTATING = {18: (9, 0, 10), 19: (89, 131, 150, 134, 89, 300, 131, 612, 84, 89, 83, 150, 135, 301, 613, 131)}
+# parameter = add + scale * ((k * mul) mod mod)
+PARAMETER_RULE = {31: (1, 1, 1, 2), 132: (60, 30, 1, 3), 131: (0, 1, 1, 4), 150: (0, 1, 1, 7), 502: (0, 1, 2, 101),
+                  503: (100, 1, 1, 1000), 173: (0, 1, 1, 6), **{c: (1, 1, 1, 4) for c in (81, 82, 83, 84, 89, 90)}}
+
+
+def _event_slots() -> list[tuple[int, ...]]:
+    """(code, add, scale, mul, mod) of every event slot: 16 rounds of 20."""
+    out = []
+    for i in range(320):
+        regular, turn = i % 20, i // 20
+        code = REGULAR_CODES[regular] if regular < 18 else ROTATING[regular][turn % len(ROTATING[regular])]
+        out.append((code, *PARAMETER_RULE.get(code, (2, 2, 1, 4))))
+    return out
+
+
+EVENT_SLOTS = _event_slots()
+
+
 def _ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
@@ -52,26 +73,13 @@ class Tables:
 
     @cached_property
     def controller_events(self) -> DataFrame:
-        k = F.col("k")
-        # fixed code per event slot
-        codes = {0: 1, 1: 82, 2: 81, 3: 82, 4: 81, 5: 8, 6: 9, 7: 90, 8: 45, 9: 21, 10: 22, 11: 31,
-                 12: 1, 13: 132, 14: 173, 15: 502, 16: 503, 17: 4}
-        slot = F.col("event_id") % 20
-        code = F.lit(None).cast("int")
-        for s, c in codes.items():
-            code = F.when(slot == s, c).otherwise(code)
-        m, n = k % 12, F.floor(k / 12) % 4
-        rare = (F.when(m < 3, 89).when(m < 6, 131).when(m < 8, 150).when(m == 8, 134 + n).when(m == 9, 300 + n)
-                .when(m == 10, 612 + n).otherwise(F.when(n % 2 == 0, 84).otherwise(83)))
-        code = (F.when(slot == 18, F.when(k % 3 == 0, 9).when(k % 3 == 1, 0).otherwise(10))
-                .when(slot == 19, rare).otherwise(code))
-        c = F.col("EventCode")
-        param = (F.when(c == 31, F.when(k % 3 == 0, 2).otherwise(1))
-                 .when(c == 132, F.when(F.col("SignalID") % 3 == 0, 0).otherwise(60 + k % 3 * 30)).when(c == 131, k % 4).when(c == 150, k % 7)
-                 .when(c == 502, k * 2 % 101).when(c == 503, 100 + k).when(c == 173, k % 6)
-                 .when(c.isin(81, 82, 83, 84, 89, 90), k % 4 + 1).otherwise((k % 4 + 1) * 2))
-        return (self._events.withColumn("EventCode", code.cast("int"))
-                .select("SignalID", "Timestamp", "EventCode", param.cast("int").alias("EventParam"),
+        # one array lookup per column: filters on code or parameter stay small when pushed into the scan
+        slot = (F.col("event_id") % len(EVENT_SLOTS) + 1).cast("int")
+        look = lambda i: F.element_at(F.array(*[F.lit(s[i]) for s in EVENT_SLOTS]), slot)
+        param = look(1) + look(2) * F.pmod(F.col("k") * look(3), look(4))
+        free = (F.col("EventCode") == 132) & (F.col("SignalID") % 3 == 0)
+        return (self._events.withColumn("EventCode", look(0))
+                .select("SignalID", "Timestamp", "EventCode", F.when(free, 0).otherwise(param).cast("int").alias("EventParam"),
                         F.col("Timestamp").cast("date").alias("date")))
 
     @cached_property
