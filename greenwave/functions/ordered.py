@@ -72,12 +72,13 @@ def streak_length(df: DataFrame, keys: Sequence[str], order: str, value: str, na
     """Length so far of the current run of equal values; keys own few rows (a day of periods)."""
     w = Window.partitionBy(*keys).orderBy(order)
     same = F.col(value).eqNullSafe(F.lag(value).over(w)) & (F.row_number().over(w) > 1)
-    run = df.withColumn("_new", F.when(same, 0).otherwise(1))
-    run = run.withColumn("_run", F.sum("_new").over(w))
-    length = F.row_number().over(Window.partitionBy(*keys, "_run").orderBy(order))
+    # row number less that of the run's first row: every step uses one window and one sort
+    run = df.withColumns({"_new": ~same, "_n": F.row_number().over(w)})
+    first = F.max(F.when(F.col("_new"), F.col("_n"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    length = F.col("_n") - first + 1
     if cap:
         length = F.least(length, F.lit(cap))
-    return run.withColumn(name, length).drop("_new", "_run")
+    return run.withColumn(name, length).drop("_new", "_n")
 
 
 def last_change(df: DataFrame, keys: Sequence[str], order: str, condition: Column, name: str) -> DataFrame:

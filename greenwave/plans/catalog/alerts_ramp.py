@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from greenwave.operators import alerts as al, counts as ct, ramp as rp, uptime as up
 from greenwave.plans.catalog.counts import FILTERED_SQL, filtered
-from greenwave.plans.catalog.ped_uptime import CAM, PAU, cams, pau
+from greenwave.plans.catalog.ped_uptime import CAM, PAU, cams, kept_pau
 from greenwave.operators import ped
 from greenwave.plans.registry import register
 
@@ -31,11 +31,11 @@ AL["alerts_all"] = streaks("SELECT * FROM a_det UNION ALL SELECT * FROM a_ped UN
 
 
 def det_alerts(t):
-    return al.bad_detector_alerts(ct.bad_detectors(filtered(t)), t.det_config, t.corridors)
+    return al.bad_detector_alerts(t.kept("filtered_counts", lambda: filtered(t)).transform(ct.bad_detectors), t.det_config, t.corridors)
 
 
 def ped_alerts(t):
-    return al.bad_ped_alerts(ped.bad_ped_inputs(pau(t)), t.corridors)
+    return al.bad_ped_alerts(ped.bad_ped_inputs(kept_pau(t)), t.corridors)
 
 
 def cam_alerts(t):
@@ -46,6 +46,10 @@ def all_alerts(t):
     return al.alerts([det_alerts(t), ped_alerts(t), cam_alerts(t)], TODAY)
 
 
+def kept_alerts(t):
+    return t.kept("alerts", lambda: all_alerts(t))
+
+
 register("l1_bad_detector_alerts", det_alerts, "SELECT * FROM a_det", extra=AL)
 register("l2_bad_ped_alerts", ped_alerts, "SELECT * FROM a_ped", extra=AL)
 register("l2_camera_alerts", cam_alerts, "SELECT * FROM a_cam", extra=AL)
@@ -59,11 +63,11 @@ def table_sql(alert, cond, floor, keep_approach):
     return f"SELECT * {'' if keep_approach else 'EXCLUDE (ApproachDesc)'} FROM ({tab}) WHERE Streak > {floor}"
 
 
-register("l4_alert_table", lambda t: al.filter_alerts(all_alerts(t), "Bad Vehicle Detection", zone_group="ASIA")["table"],
+register("l4_alert_table", lambda t: al.filter_alerts(kept_alerts(t), "Bad Vehicle Detection", zone_group="ASIA")["table"],
          table_sql("Bad Vehicle Detection", "Zone_Group = 'ASIA' OR Zone = 'ASIA'", -1, True), extra=AL)
-register("l4_active_alert_table", lambda t: al.filter_alerts(all_alerts(t), "Bad Ped Pushbuttons", pattern="corridor [2-6]", active="Active 3-days")["table"],
+register("l4_active_alert_table", lambda t: al.filter_alerts(kept_alerts(t), "Bad Ped Pushbuttons", pattern="corridor [2-6]", active="Active 3-days")["table"],
          table_sql("Bad Ped Pushbuttons", "regexp_matches(coalesce(Name, ''), '(?i)corridor [2-6]') OR regexp_matches(coalesce(Corridor, ''), '(?i)corridor [2-6]') OR regexp_matches(SignalID, '(?i)corridor [2-6]')", 2, False), extra=AL)
-register("l4_alert_rows_by_phase", lambda t: al.alerts_between(al.filter_alerts(all_alerts(t), "Bad Vehicle Detection", corridor="Corridor 3", phase="4")["rows"], "2024-01-20", "2024-02-05"),
+register("l4_alert_rows_by_phase", lambda t: al.alerts_between(al.filter_alerts(kept_alerts(t), "Bad Vehicle Detection", corridor="Corridor 3", phase="4")["rows"], "2024-01-20", "2024-02-05"),
          "SELECT * FROM alerts_all WHERE Alert = 'Bad Vehicle Detection' AND Corridor = 'Corridor 3' AND CallPhase = '4' AND Date BETWEEN DATE '2024-01-20' AND DATE '2024-02-05'", extra=AL)
 
 # ---- ramp meters ------------------------------------------------------------

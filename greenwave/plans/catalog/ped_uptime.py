@@ -38,18 +38,22 @@ def pau(t):
     return ped.ped_input_uptime(t.ped_daily, t.ped_hourly, t.corridors, START, CALC)
 
 
+def kept_pau(t):
+    return t.kept("pau", lambda: pau(t))
+
+
 register("e1_ped_inputs_too_high", lambda t: ped.too_high(t.ped_hourly).drop("toohigh"), "SELECT * FROM high", extra=PAU)
 register("e2_low_press_probability", lambda t: ped.low_press_probability(
     t.ped_daily.withColumn("weekday", F.dayofweek("Date").isin(2, 3, 4, 5, 6))),
     PAU["p0"].replace("FROM dense", "FROM (SELECT *, dayofweek(Date) BETWEEN 1 AND 5 AS weekday FROM ped_daily)"), "p0")
 register("e3_ped_input_uptime", pau, "SELECT * FROM pau", "papd problow", extra=PAU)
-register("e4_bad_ped_inputs", lambda t: ped.bad_ped_inputs(pau(t)), "SELECT SignalID, Detector, Date FROM pau WHERE uptime = 0", extra=PAU)
-register("e5_imputed_presses", lambda t: ped.impute_presses(pau(t)), f"""
+register("e4_bad_ped_inputs", lambda t: ped.bad_ped_inputs(kept_pau(t)), "SELECT SignalID, Detector, Date FROM pau WHERE uptime = 0", extra=PAU)
+register("e5_imputed_presses", lambda t: ped.impute_presses(kept_pau(t)), f"""
 SELECT * REPLACE (CASE WHEN uptime = 1 THEN papd ELSE floor(avg(papd) FILTER (uptime = 1) OVER (PARTITION BY {I}, date_trunc('month', Date))) END AS papd) FROM pau""",
          "papd problow", extra=PAU)
 for name, src, m in (("15min", "counts_15min", 15), ("1hr", "counts_1hr", 60)):
     register(f"e6_good_presses_{name}", lambda t, src=src, m=m: ped.good_period_presses(
-        getattr(t, src), ped.bad_ped_inputs(pau(t)), m, "pa15" if m == 15 else "paph"), f"""
+        getattr(t, src), ped.bad_ped_inputs(kept_pau(t)), m, "pa15" if m == 15 else "paph"), f"""
     WITH r AS (SELECT * FROM {src} s WHERE NOT EXISTS (SELECT 1 FROM pau p WHERE p.uptime = 0 AND p.SignalID = s.SignalID AND p.Detector = s.Detector AND p.Date = CAST(s.Timeperiod AS DATE))),
     p AS (SELECT SignalID, Timeperiod, CAST(sum(vol) AS BIGINT) AS v FROM r GROUP BY ALL),
     g AS (SELECT SignalID, unnest(generate_series((SELECT date_trunc('day', min(Timeperiod)) FROM r), (SELECT date_trunc('day', max(Timeperiod)) + INTERVAL {1440 - m} MINUTE FROM r), INTERVAL {m} MINUTE)) AS Timeperiod FROM (SELECT DISTINCT SignalID FROM r))
@@ -85,6 +89,10 @@ def combined(t):
     return up.combined_camera_uptime(cam_up(t), enc_up(t))
 
 
+def kept_combined(t):
+    return t.kept("combined_camera_uptime", lambda: combined(t))
+
+
 register("d3_camera_config", cams, "SELECT * FROM camtree", extra=CAM)
 register("q1_camera_activity", lambda t: up.camera_activity(t.camera_log), "SELECT * FROM activity", "Size", extra=CAM)
 register("q2_daily_camera_uptime", cam_up, "SELECT * FROM camup", "up num uptime", extra=CAM)
@@ -92,12 +100,12 @@ register("q3_combined_camera_uptime", combined, "SELECT * FROM comb", "up num up
 register("q4_daily_avg_camera", lambda t: up.daily_avg_camera(cam_up(t)), rs.period_avg("SELECT * FROM camup", "uptime", "Date", "num", "CameraID"), "uptime num delta", extra=CAM)
 PL = "CameraID, Zone_Group, Zone, Corridor, Subcorridor"
 _wk = rs.tuesday(rs.delta(rs.mean(f"SELECT *, {week('Date')} AS Week FROM comb", f"{PL}, Week", "uptime", "num"), PL, "Week", "uptime"), "SELECT * FROM comb")
-register("q4_weekly_avg_camera", lambda t: up.weekly_avg_camera(combined(t)), _wk, "uptime num delta", extra=CAM)
-register("q4_monthly_avg_camera", lambda t: up.monthly_avg_camera(combined(t)),
+register("q4_weekly_avg_camera", lambda t: up.weekly_avg_camera(kept_combined(t)), _wk, "uptime num delta", extra=CAM)
+register("q4_monthly_avg_camera", lambda t: up.monthly_avg_camera(kept_combined(t)),
          f"SELECT {PL}, CAST(date_trunc('month', Date) AS DATE) AS Month, sum(uptime) AS up, {rs.wmean('uptime', 'num')} AS uptime, sum(num) AS num FROM comb GROUP BY ALL", "up uptime num", extra=CAM)
 for per, key in (("week", f"greatest((SELECT min(Date) FROM comb), CAST(DATE '2016-12-25' + CAST({week('Date')} * 7 + 2 AS INTEGER) AS DATE)) AS Date"),
                  ("month", "CAST(date_trunc('month', Date) AS DATE) AS Month")):
-    register(f"q4_cor_{per}ly_camera_sums", lambda t, p=per: up.cor_camera_uptime(combined(t), p),
+    register(f"q4_cor_{per}ly_camera_sums", lambda t, p=per: up.cor_camera_uptime(kept_combined(t), p),
              f"SELECT * FROM (SELECT {key.replace(' AS Date', ' AS k').replace(' AS Month', ' AS k')}, Corridor, Zone_Group, sum(up) AS up, sum(num) AS num, sum(up) / sum(num) AS uptime FROM comb WHERE Corridor IS NOT NULL GROUP BY ALL)".replace("SELECT * FROM (", f"SELECT k AS {'Date' if per == 'week' else 'Month'}, Corridor, Zone_Group, up, num, uptime FROM (", 1),
              "up num uptime", extra=CAM)
 
@@ -108,9 +116,9 @@ def _cor(src, per):
 
 
 _sub = "SELECT Zone AS Zone_Group, Corridor AS Zone, Subcorridor AS Corridor, Date, uptime, num FROM comb WHERE Subcorridor IS NOT NULL"
-register("q4_cor_daily_camera_uptime", lambda t: up.cor_camera_rollup(combined(t)), rs.with_week(_cor("SELECT * FROM comb", "Date")), "uptime num delta", extra=CAM)
-register("q4_sub_daily_camera_uptime", lambda t: up.cor_camera_rollup(combined(t), sub=True), rs.with_week(_cor(_sub, "Date")), "uptime num delta", extra=CAM)
-register("q4_cor_weekly_camera_uptime", lambda t: up.cor_camera_rollup(up.weekly_avg_camera(combined(t))), rs.with_week(_cor(_wk, "Date")), "uptime num delta", extra=CAM)
+register("q4_cor_daily_camera_uptime", lambda t: up.cor_camera_rollup(kept_combined(t)), rs.with_week(_cor("SELECT * FROM comb", "Date")), "uptime num delta", extra=CAM)
+register("q4_sub_daily_camera_uptime", lambda t: up.cor_camera_rollup(kept_combined(t), sub=True), rs.with_week(_cor(_sub, "Date")), "uptime num delta", extra=CAM)
+register("q4_cor_weekly_camera_uptime", lambda t: up.cor_camera_rollup(up.weekly_avg_camera(kept_combined(t))), rs.with_week(_cor(_wk, "Date")), "uptime num delta", extra=CAM)
 register("q5_rsu_uptime", lambda t: up.rsu_uptime(
     cam_up(t).groupBy("SignalID", "Date").agg(F.max("uptime").alias("uptime"), F.count(F.lit(1)).alias("count")),
     t.cam_config), """

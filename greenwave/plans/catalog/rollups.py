@@ -113,8 +113,8 @@ AVG_UPTIME = {**UPTIME_SQL, "avg_uptime": f"""SELECT *, 0 AS CallPhase, {week('D
 
 
 def avg_uptime(t):
-    return ct.avg_daily_detector_uptime(ct.daily_detector_uptime(filtered(t))).withColumns(
-        {"CallPhase": F.lit(0), "Week": tp.week_index("Date")})
+    daily = t.kept("avg_daily_detector_uptime", lambda: ct.avg_daily_detector_uptime(ct.daily_detector_uptime(filtered(t))))
+    return daily.withColumns({"CallPhase": F.lit(0), "Week": tp.week_index("Date")})
 
 
 def weekly_uptime(t):

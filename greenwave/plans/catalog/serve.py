@@ -142,7 +142,7 @@ DET = {**ADJ_SQL, "details": """SELECT SignalID, Timeperiod, Detector, CallPhase
 
 
 def details(t):
-    f = filtered(t)
+    f = t.kept("filtered_counts", lambda: filtered(t))
     return sinks.signal_details(t.counts_1hr, f, ct.adjusted_counts(f))
 
 

@@ -166,18 +166,22 @@ CRASH = {"mvpd": _vpd,
 
 
 def mvpd(t):
-    return ru.monthly_avg_by_day(midweek(t.metrics_daily), "vpd")
+    return t.kept("monthly_vpd", lambda: ru.monthly_avg_by_day(midweek(t.metrics_daily), "vpd"))
 
 
 def crates(t):
     return tv.monthly_crash_rates(t.crashes, mvpd(t))
 
 
+def kept_crates(t):
+    return t.kept("crash_rates", lambda: crates(t))
+
+
 register("t10_rolling_crashes", lambda t: tv.rolling_crashes(t.crashes), f"SELECT SignalID, Month, {', '.join(f'CAST({c} AS {'DOUBLE' if c == 'cost' else 'BIGINT'}) AS {c}' for c in _cr)} FROM croll", "cost", 2, extra=CRASH)
 register("w6_rolling_volume", lambda t: tv.rolling_volume(mvpd(t)), "SELECT * FROM vroll", "vpd vpd12", extra=CRASH)
 register("t10_monthly_crash_rates", crates, f"SELECT * REPLACE ({', '.join(f'CAST({c} AS BIGINT) AS {c}' for c in _cr[:-1])}) FROM crates", "cost vpd vpd12 cri kabco", 3, extra=CRASH)
 for x in ("cri", "kabco"):
     sig = rs.monthly_avg_by_day(f"SELECT SignalID, CallPhase, Date, {x} FROM crates", x)
-    register(f"t10_monthly_{x}", lambda t, x=x: tv.crash_index(crates(t), x), sig, f"{x} delta", extra=CRASH)
-    register(f"t10_cor_monthly_{x}", lambda t, x=x: ru.cor_monthly_avg_by_day(tv.crash_index(crates(t), x), t.corridors, x),
+    register(f"t10_monthly_{x}", lambda t, x=x: tv.crash_index(kept_crates(t), x), sig, f"{x} delta", extra=CRASH)
+    register(f"t10_cor_monthly_{x}", lambda t, x=x: ru.cor_monthly_avg_by_day(tv.crash_index(kept_crates(t), x), t.corridors, x),
              rs.corridor_rollup(sig, x, "Month"), f"{x} delta", extra=CRASH)

@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from greenwave.functions.timeparts import day_interval, month_start
+from greenwave.session import cut_lineage
 
 DAY_SHIFT = 9131  # 25 years, so that weeks count from the week origin
 
@@ -55,10 +56,17 @@ class Tables:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
+        self._kept: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
 
+    def kept(self, name: str, make) -> DataFrame:
+        """An intermediate table that several later steps read, stored once (see session.cut_lineage)."""
+        if name not in self._kept:
+            self._kept[name] = cut_lineage(make())
+        return self._kept[name]
+
     # ---- events -------------------------------------------------------------
     @cached_property
     def _events(self) -> DataFrame:
