@@ -80,7 +80,9 @@ def union_sources(first: DataFrame, second: DataFrame, rename: dict[str, str]) -
 def read_tasks_csv(spark: SparkSession, paths: Sequence[str], schema: str, report_start: str,
                    timestamp_format: str = "MM/dd/yyyy hh:mm:ss a") -> DataFrame:
     """Archived and current task files with typed columns, from the start of the report, copies dropped."""
-    df = spark.read.schema(schema).csv(list(paths), header=True, timestampFormat=timestamp_format, timestampNTZFormat=timestamp_format)
+    reader = spark.read.schema(schema).option("header", "true")
+    reader = reader.option("timestampFormat", timestamp_format).option("timestampNTZFormat", timestamp_format)
+    df = reader.csv(list(paths))
     return df.where(F.col("Date_Reported") >= F.lit(report_start).cast("date")).distinct()
 
 
