@@ -28,25 +28,22 @@ def carry(df: DataFrame, keys: Sequence[str], ts: str, values: dict[str, Column]
     order = [col(o) for o in order]
     df = df.withColumn("_b", floor_minutes(ts, bucket_minutes))
     by = [F.col(ts), *order]
-    w = Window.partitionBy(*keys, "_b").orderBy(*by)
-    if backward:
-        frame = w.rowsBetween(0 if inclusive else 1, Window.unboundedFollowing)
-        pick, edge = F.first, F.min_by
-        across = Window.partitionBy(*keys).orderBy("_b").rowsBetween(1, Window.unboundedFollowing)
+    # looking back means reading the rows in reverse: a frame that grows is linear, one that shrinks is not
+    turn = (lambda c: c.desc()) if backward else (lambda c: c.asc())
+    edge = F.min_by if backward else F.max_by
+    w = Window.partitionBy(*keys, "_b").orderBy(*[turn(c) for c in by])
+    if peers:
+        frame = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     else:
         frame = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-        pick, edge = F.last, F.max_by
-        across = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    if peers:
-        frame = (w.rangeBetween(Window.currentRow, Window.unboundedFollowing) if backward
-                 else w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    across = Window.partitionBy(*keys).orderBy(turn(F.col("_b"))).rowsBetween(Window.unboundedPreceding, -1)
 
     rank = F.struct(*by)
     tails = df.groupBy(*keys, "_b").agg(
         *[edge(v, F.when(v.isNotNull(), rank)).alias(f"_t_{n}") for n, v in values.items()])
     handed = tails.select(*keys, "_b", *[
-        pick(f"_t_{n}", ignorenulls=True).over(across).alias(f"_h_{n}") for n in values])
-    inside = df.select("*", *[pick(v, ignorenulls=True).over(frame).alias(f"_w_{n}") for n, v in values.items()])
+        F.last(f"_t_{n}", ignorenulls=True).over(across).alias(f"_h_{n}") for n in values])
+    inside = df.select("*", *[F.last(v, ignorenulls=True).over(frame).alias(f"_w_{n}") for n, v in values.items()])
     joined = inside.join(handed, [*keys, "_b"], "left")
     keep = [c for c in df.columns if c != "_b" and c not in values]
     return joined.select(*keep, *[F.coalesce(f"_w_{n}", f"_h_{n}").alias(n) for n in values])

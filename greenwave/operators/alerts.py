@@ -72,8 +72,9 @@ def alerts(parts: Sequence[DataFrame], today=None, days: int | None = 180, cap:
     if today is not None and days is not None:
         rows = rows.where(F.col("Date") > F.date_sub(F.lit(today).cast("date"), days))
     rows = rows.distinct()
-    later = Window.partitionBy("SignalID", "Detector").orderBy("Alert", "CallPhase", "Date").rowsBetween(0, Window.unboundedFollowing)
-    rows = rows.withColumn("ApproachDesc", F.coalesce(F.first("ApproachDesc", ignorenulls=True).over(later), F.lit("")))
+    later = Window.partitionBy("SignalID", "Detector").orderBy(
+        F.desc("Alert"), F.desc("CallPhase"), F.desc("Date")).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("ApproachDesc", F.coalesce(F.last("ApproachDesc", ignorenulls=True).over(later), F.lit("")))
     ramp = F.coalesce(F.col("Zone") == RAMP_ZONE, F.lit(False))
     rows = rows.where(~ramp).unionByName(_group_ramp_detectors(rows.where(ramp)).select(*ALERT_COLUMNS))
     keys = ["Zone_Group", "Zone", "SignalID", "CallPhase", "Detector", "Alert"]

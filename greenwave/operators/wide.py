@@ -76,7 +76,8 @@ def widen(events: DataFrame, config: DataFrame) -> DataFrame:
         return group(*more).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
 
     def up(*more):
-        return group(*more).orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
+        # rows in reverse, so that the frame grows
+        return group(*more).orderBy(*[F.desc(c) for c in order]).rowsBetween(Window.unboundedPreceding, 0)
 
     # 1. a value set at an instant holds for every row of that instant
     marks = {n: F.max(F.when(code == c, param)).over(instant) for n, c in SIGNAL_STATES.items()}
@@ -91,17 +92,17 @@ def widen(events: DataFrame, config: DataFrame) -> DataFrame:
     rows = rows.withColumns(marks)
 
     # 2. and is carried along the signal, phase, detector or pedestrian input
-    def carried(name, window, key=None, pick=F.last):
-        filled = pick(name, ignorenulls=True).over(window)
+    def carried(name, window, key=None):
+        filled = F.last(name, ignorenulls=True).over(window)
         return filled if key is None else F.when(F.col(key).isNotNull(), filled)
 
     fills = {n: carried(n, down()) for n in (*SIGNAL_STATES, "CycleStart")}
     fills["PowerFailure"] = F.nullif(carried("PowerFailure", down()), F.lit(-1))
     for n in ("PhaseStart", "Interval", "ProgrammedSplit", "PedWait"):
         fills[n] = carried(n, down("Phase"), "Phase")
-    fills["RecordedSplit"] = carried("RecordedSplit", up("Phase"), "Phase", F.first)
+    fills["RecordedSplit"] = carried("RecordedSplit", up("Phase"), "Phase")
     fills["DetectorFault"] = F.nullif(carried("DetectorFault", down("Detector"), "Detector"), F.lit(-1))
-    off = lambda c, key: F.first(F.when(code == c, ts), ignorenulls=True).over(up(key))
+    off = lambda c, key: F.last(F.when(code == c, ts), ignorenulls=True).over(up(key))
     fills["DetectorOff"] = F.when(code == 82, off(81, "Detector"))
     fills["PedInputOff"] = F.when(code == 90, off(89, "PedInput"))
     rows = rows.withColumns(fills).withColumns({
