@@ -35,11 +35,11 @@ def combined_camera_uptime(web: DataFrame, encoder: DataFrame, min_overall: floa
     Days on which the whole system is below ``min_overall`` are dropped as collection failures.
     """
     keys = [c for c in web.columns if c not in ("up", "num", "uptime", "SignalID")]
-    both = (web.select(*keys, F.col("up").alias("up_511"), F.lit(None).cast("double").alias("up_enc"))
-            .unionByName(encoder.select(*keys, F.lit(None).cast("double").alias("up_511"), F.col("up").alias("up_enc")))
-            .groupBy(*keys).agg(F.coalesce(F.max("up_511"), F.lit(0.0)).alias("up_511"), F.coalesce(F.max("up_enc"), F.lit(0.0)).alias("up_enc")))
-    out = both.withColumns({"uptime": F.col("up_511"), "num": F.lit(1.0),
-                            "up": F.greatest(F.col("up_511") * 2, F.col("up_enc"))})
+    both = (web.select(*keys, F.col("up").alias("up_web"), F.lit(None).cast("double").alias("up_enc"))
+            .unionByName(encoder.select(*keys, F.lit(None).cast("double").alias("up_web"), F.col("up").alias("up_enc")))
+            .groupBy(*keys).agg(F.coalesce(F.max("up_web"), F.lit(0.0)).alias("up_web"), F.coalesce(F.max("up_enc"), F.lit(0.0)).alias("up_enc")))
+    out = both.withColumns({"uptime": F.col("up_web"), "num": F.lit(1.0),
+                            "up": F.greatest(F.col("up_web") * 2, F.col("up_enc"))})
     bad = out.groupBy("Date").agg((F.sum("uptime") / F.sum("num")).alias("_u")).where(F.col("_u") < min_overall).select("Date")
     return out.join(bad, "Date", "left_anti")
 

@@ -68,9 +68,9 @@ CAM = {"activity": """SELECT CameraID, Date, coalesce(stddev_samp(Size), 0) AS S
          LEFT JOIN (SELECT DISTINCT CameraID, Date FROM activity WHERE Size > 0) a ON a.CameraID = g.CameraID AND a.Date = g.d WHERE g.d >= As_of_Date"""}
 _enc = CAM["camup"].replace("FROM activity WHERE Size > 0", "FROM camera_log WHERE Size > 20")
 CAM["camenc"] = _enc
-CAM["comb"] = """SELECT * FROM (WITH b AS (SELECT CameraID, Date, Zone_Group, Zone, Corridor, Subcorridor, coalesce(max(u5), 0) AS up_511, coalesce(max(ue), 0) AS up_enc FROM
+CAM["comb"] = """SELECT * FROM (WITH b AS (SELECT CameraID, Date, Zone_Group, Zone, Corridor, Subcorridor, coalesce(max(u5), 0) AS up_web, coalesce(max(ue), 0) AS up_enc FROM
     (SELECT CameraID, Date, Zone_Group, Zone, Corridor, Subcorridor, up AS u5, NULL AS ue FROM camup UNION ALL SELECT CameraID, Date, Zone_Group, Zone, Corridor, Subcorridor, NULL, up FROM camenc) GROUP BY ALL)
-    SELECT *, up_511 AS uptime, 1.0 AS num, greatest(up_511 * 2, up_enc) AS up FROM b WHERE Date NOT IN (SELECT Date FROM b GROUP BY Date HAVING avg(up_511) < 0.2))"""
+    SELECT *, up_web AS uptime, 1.0 AS num, greatest(up_web * 2, up_enc) AS up FROM b WHERE Date NOT IN (SELECT Date FROM b GROUP BY Date HAVING avg(up_web) < 0.2))"""
 
 
 def cams(t):
@@ -96,7 +96,7 @@ def kept_combined(t):
 register("d3_camera_config", cams, "SELECT * FROM camtree", extra=CAM)
 register("q1_camera_activity", lambda t: up.camera_activity(t.camera_log), "SELECT * FROM activity", "Size", extra=CAM)
 register("q2_daily_camera_uptime", cam_up, "SELECT * FROM camup", "up num uptime", extra=CAM)
-register("q3_combined_camera_uptime", combined, "SELECT * FROM comb", "up num uptime up_511 up_enc", extra=CAM)
+register("q3_combined_camera_uptime", combined, "SELECT * FROM comb", "up num uptime up_web up_enc", extra=CAM)
 register("q4_daily_avg_camera", lambda t: up.daily_avg_camera(cam_up(t)), rs.period_avg("SELECT * FROM camup", "uptime", "Date", "num", "CameraID"), "uptime num delta", extra=CAM)
 PL = "CameraID, Zone_Group, Zone, Corridor, Subcorridor"
 _wk = rs.tuesday(rs.delta(rs.mean(f"SELECT *, {week('Date')} AS Week FROM comb", f"{PL}, Week", "uptime", "num"), PL, "Week", "uptime"), "SELECT * FROM comb")
