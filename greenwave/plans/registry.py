@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from greenwave.plans.adapters_sql import with_adapters
+from greenwave.session import ship_package
 from greenwave.sources.adapters import Tables
 
 
@@ -50,6 +51,7 @@ def rounded(df: DataFrame, digits: int) -> DataFrame:
 
 def runner(q: Query) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
         return rounded(q.plan(Tables(spark, sf_dir)), q.digits)
 
     run.__name__ = q.name

@@ -1,9 +1,11 @@
-"""Session defaults and lineage cuts."""
+"""Session defaults, shared folders, lineage cuts and the code that Python workers need."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,19 +30,52 @@ def build_session(app: str = "greenwave", master: str | None = None, **conf) ->
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that the cluster names in ``spark.checkpoint.dir``.
+
+    Only where the session names none and runs on one machine (tests) is it a folder of our own.
+    """
+    sc = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_KEY, None) or sc.getConf().get(CHECKPOINT_KEY) or sc.getCheckpointDir()
+    if folder is None:
+        if not sc.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
+        folder = os.path.join(tempfile.mkdtemp(prefix="greenwave-"), "checkpoints")
+        sc.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def new_table_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that no earlier run has used."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the cluster's shared checkpoint folder and read it back.
 
-    Survives executor loss.  Only where the session names no folder and runs on one
-    machine (tests) is a folder of our own set.
+    Survives executor loss.
     """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get(CHECKPOINT_KEY, None) or sc.getConf().get(CHECKPOINT_KEY)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise ValueError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
-            folder = os.path.join(tempfile.mkdtemp(prefix="greenwave-"), "checkpoints")
-        sc.setCheckpointDir(folder)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once for each application, so that Python workers started elsewhere can import it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="greenwave-"), "greenwave.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("greenwave", os.path.relpath(full, top)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
