@@ -135,10 +135,10 @@ def sign(docs: DataFrame) -> DataFrame:
 
 
 def similarities(pairs: DataFrame) -> DataFrame:
-    """a, b, similarity: the weighted Jaccard similarity of text_a and text_b, from all their elements."""
+    """a, b, both (elements in common), similarity: the weighted Jaccard similarity of text_a and text_b, from all their elements."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text_a", 2 << 20):
+        for batch in slices(batches, "text_a", 1 << 20):
             n = batch.num_rows
             sides = []
             for name in ("text_a", "text_b"):
@@ -149,10 +149,10 @@ def similarities(pairs: DataFrame) -> DataFrame:
             (ua, oa, na), (ub, _, nb) = sides
             _, at, _ = np.intersect1d(ua, ub, assume_unique=True, return_indices=True)
             both = np.bincount(oa[at], minlength=n)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(both / np.maximum(1, na + nb - both), pa.float64())],
-                                             ["a", "b", "similarity"])
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(both, pa.int64()), pa.array(both / np.maximum(1, na + nb - both), pa.float64())],
+                                             ["a", "b", "both", "similarity"])
 
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, similarity double")
+    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, both long, similarity double")
 
 
 def element_rows(texts: DataFrame) -> DataFrame:
@@ -186,7 +186,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b, similarity of pairs of nodes, from their texts."""
+    """a, b, both, similarity of pairs of nodes, from their texts."""
     full = (pairs.select("a", "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))
     return similarities(full)
@@ -202,11 +202,12 @@ def completed(shared: DataFrame, comps: DataFrame, rank: DataFrame, tested: Data
 
     Two exact bounds keep this far below all pairs where many copies lie just under the threshold.
 
-    - A node can only be linked if at least ``similarity`` of its elements occur in other nodes of such buckets.
-      (The elements are counted once, hashed; a heavily changed copy has too many of its own.)
-    - 1 - similarity is a metric.  Nodes are checked against the head of each component that has ``MANY`` nodes in their
-      bucket; a node x can be linked to a member y only if the distance of x to the head is at most that of y
-      to the head plus 1 - ``similarity``.
+    - A similarity s of texts with n and m elements takes s / (1 + s) (n + m) elements in common, so each of the two
+      must have that many which occur in any other node of such buckets at all.  A heavily changed copy has too
+      many elements of its own.  (Elements are counted once, by hash.)
+    - Nodes are checked against the head of each component that has ``MANY`` nodes in their bucket.  What x and y have in
+      common lies inside that head, at most as much as the lesser of the two has there, or outside, at
+      most as much as the lesser of the two has there that any other node has.
 
     The pairs that remain, each taken in the smallest of its shared buckets, are checked by their texts.
     """
@@ -215,33 +216,39 @@ def completed(shared: DataFrame, comps: DataFrame, rank: DataFrame, tested: Data
     left = cut_lineage(here.join(mixed, "key"))
     if left.isEmpty():
         return None
-    own = element_rows(texts.join(left.select("node").distinct(), "node")).groupBy("element").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
-    alone = own.where("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
-    able = counts.join(alone, "node", "left").where(F.col("n_elements") - F.coalesce("alone", F.lit(0)) >= F.col("n_elements") * similarity)
-    left = cut_lineage(left.join(able.select("node", "n_elements"), "node"))
+    able = counts
+    for _ in range(2):  # the second time without the elements of nodes that are out already
+        within = left.select("node").distinct().join(able.select("node"), "node")
+        found = element_rows(texts.join(within, "node")).groupBy("element").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
+        alone = found.where("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+        able = (counts.join(within, "node").join(alone, "node", "left").withColumn("common", F.col("n_elements") - F.coalesce("alone", F.lit(0)))
+                .where(F.col("common") >= F.col("n_elements") * (similarity - 1e-9)).select("node", "n_elements", "common"))
+        able = cut_lineage(able)
+    left = cut_lineage(left.join(able, "node"))
 
     head = left.join(rank, "node").groupBy("comp").agg(F.max(F.struct("rank", "node")).alias("head")).select("comp", F.col("head.node").alias("head"))
     large = left.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MANY).join(head, "comp")
     to_head = cut_lineage(left.select("key", "node").join(large.select("key", F.col("comp").alias("of"), "head"), "key").select("node", "of", "head").distinct())
     pairs = to_head.where("node <> head").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
     by_head = cut_lineage(checked(pairs, texts))
-    distance = (to_head.withColumn("a", F.least("node", "head")).withColumn("b", F.greatest("node", "head")).join(by_head, ["a", "b"], "left")
-                .groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("of", (F.lit(1.0) - F.coalesce("similarity", F.lit(1.0))).alias("d")))).alias("far")))
+    size_of = able.select(F.col("node").alias("head"), F.col("n_elements").alias("size"))
+    with_head = (to_head.withColumn("a", F.least("node", "head")).withColumn("b", F.greatest("node", "head")).join(by_head, ["a", "b"], "left").join(size_of, "head")
+                 .groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("of", F.coalesce("both", "size")))).alias("inside")))
     keys = left.groupBy("node").agg(F.collect_set("key").alias("keys"))
-    rows = cut_lineage(left.join(keys, "node").join(distance, "node", "left"))
+    rows = cut_lineage(left.join(keys, "node").join(with_head, "node", "left"))
 
     x, y = rows.alias("x"), rows.alias("y")
-    gap = 1 - similarity + 1e-9
+    needed = (F.col("x.n_elements") + F.col("y.n_elements")) * (similarity / (1 + similarity) - 1e-9)
+    enough = F.least("x.common", "y.common") >= needed
 
-    def reach(p: str, q: str):
-        """Whether p may be linked to q, by the head of q's component."""
-        to = F.try_element_at(F.col(f"{p}.far"), F.col(f"{q}.comp")) - F.try_element_at(F.col(f"{q}.far"), F.col(f"{q}.comp"))
-        return F.coalesce(to, F.lit(0.0)) <= gap
+    def by_way_of(comp: str):
+        """Whether x and y may have enough in common, by the head of a component."""
+        in_x, in_y = (F.try_element_at(F.col(f"{p}.inside"), F.col(comp)) for p in "xy")
+        return F.coalesce(F.least(in_x, in_y) + F.least(F.col("x.common") - in_x, F.col("y.common") - in_y) >= needed, F.lit(True))
 
-    sizes = F.least("x.n_elements", "y.n_elements") >= F.greatest("x.n_elements", "y.n_elements") * (similarity - 1e-9)
     first = F.col("x.key") == F.array_min(F.array_intersect("x.keys", "y.keys"))
-    met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")) & sizes
-                 & reach("x", "y") & reach("y", "x") & first)
+    met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")) & enough
+                 & by_way_of("x.comp") & by_way_of("y.comp") & first)
     done = tested.unionByName(pairs)
     rest = met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).join(done, ["a", "b"], "left_anti")
     found = checked(rest, texts).unionByName(by_head)

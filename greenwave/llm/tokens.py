@@ -31,7 +31,7 @@ class _Numbers(dict):
 
 
 class Encoder:
-    def __init__(self, path: str, most: int = 600_000) -> None:
+    def __init__(self, path: str, most: int = 400_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
