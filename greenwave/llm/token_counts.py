@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from greenwave.llm.common import slices
+from greenwave.llm.tokens import BYTE_LETTERS, as_letters
 from greenwave.session import cut_lineage
 
 # Fixed values of the tokenizer file: its special strings and its rule for pre-tokens.
@@ -21,13 +22,6 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{IsWhite_Space}\p{L}\
 PLAIN = "^[\\x00-\\u012F\\u0131-\\u017F]*$"
 
 
-def _byte_letters() -> dict[int, str]:
-    """The letter that byte-level tokenizers write for each byte: itself if printable, else one from 256 on."""
-    shown = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
-    others = [b for b in range(256) if b not in shown]
-    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(others)}
-
-
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
@@ -38,10 +32,10 @@ def count_pieces(words: DataFrame, path: str) -> DataFrame:
     """The distinct pre-tokens with n_pieces, the BPE pieces of each; every other column is kept."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, letters = _tokenizer(path).model, _byte_letters()
+        model = _tokenizer(path).model
         for batch in batches:
             words = batch.column("word").to_pylist()
-            n = [len(model.tokenize("".join(map(letters.__getitem__, w.encode("utf-8", "surrogatepass"))))) for w in words]
+            n = [len(model.tokenize(as_letters(w))) for w in words]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64())], [*batch.schema.names, "n_pieces"])
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words.schema)
@@ -54,7 +48,7 @@ def _by_library(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = _tokenizer(path)
-        back = {v: k for k, v in _byte_letters().items()}
+        back = {v: k for k, v in enumerate(BYTE_LETTERS)}
         cut = re.compile("(" + "|".join(map(re.escape, SPECIAL)) + ")")
         for batch in slices(batches):
             out = []

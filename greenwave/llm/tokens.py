@@ -15,9 +15,26 @@ import numpy as np
 from greenwave.llm.common import spread
 
 _FIRST = "\x01"  # marks a chunk without a space before it
+_POINTS = (",", ".")
 _SAFE_CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 
 
+def _byte_letters() -> list[str]:
+    """The letter that byte-level tokenizers write for each byte: itself if printable, else one from 256 on."""
+    shown = {*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)}
+    others = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + others.index(b)) for b in range(256)]
+
+
+BYTE_LETTERS = _byte_letters()
+
+
+def as_letters(text: str) -> str:
+    if text.isascii() and text.isalpha():
+        return text
+    return "".join(map(BYTE_LETTERS.__getitem__, text.encode("utf-8", "surrogatepass")))
+
+
 class _Numbers(dict):
     """Chunk -> number, counted up as new chunks come."""
 
@@ -31,39 +48,98 @@ class _Numbers(dict):
 
 
 class Encoder:
+    """At most about ``most`` chunks are kept; when there are more, the less used half goes."""
+
     def __init__(self, path: str, most: int = 400_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self.forget()
-
-    def forget(self) -> None:
+        self.model = self.tokenizer.model
         self.numbers = _Numbers()
         self.start = np.zeros(1 << 16, np.int64)
         self.length = np.zeros(1 << 16, np.int64)  # -1: the text must be encoded whole
+        self.uses = np.zeros(1 << 16, np.int64)
         self.ids = np.zeros(1 << 18, np.uint32)
         self.used = 0
+        self.line_break = self._ids("\n")[0]
+        self.points = {c: self._ids(c)[0] for c in _POINTS}
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _learn(self) -> None:
+        """Encode the new chunks, many in one text with a line break between them, which is a piece and an id of its own there."""
         new, self.numbers.new = self.numbers.new, []
-        texts = [c if c == "\n" else c[1:] if c[:1] == _FIRST else " " + c for c in new]
         known = len(self.numbers) - len(new)
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, got), np.int64, len(got))
-        total = int(sizes.sum())
+        usual, texts, ended, odd, words = [], [], [], [], []
+        at = 0
+        while at < len(new):
+            n, c = known + at, new[at]
+            at += 1
+            if c[-1:] in _POINTS and c[-2:-1].isalnum():  # a point after a letter or digit is a piece of its own
+                ended.append((n, self.numbers[c[:-1]], self.points[c[-1]]))
+                new.extend(self.numbers.new)
+                self.numbers.new.clear()
+                continue
+            bare = c[1:] if c[:1] == _FIRST else c
+            if c == "\n" or not bare:
+                odd.append((n, "\n" if c == "\n" else "" if c else " "))
+            elif bare.isalpha() and (bare.isascii() or max(bare) < "\u0250"):  # one piece
+                words.append((n, [t.id for t in self.model.tokenize(("" if c[:1] == _FIRST else BYTE_LETTERS[0x20]) + as_letters(bare))]))
+            elif not (bare[0].isspace() or bare[-1].isspace() or "\n" in bare):
+                usual.append(n)
+                texts.append(bare if c[:1] == _FIRST else " " + c)
         while len(self.start) < len(self.numbers):
-            self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
-        while len(self.ids) < self.used + total:
+            self.start, self.length, self.uses = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length, self.uses))
+        self.length[known:known + len(new)] = -1
+        for n, text in odd:
+            self._keep(np.array([n]), np.array(self._ids(text), np.uint32), None)
+        if words:
+            sizes = np.fromiter((len(x) for _, x in words), np.int64, len(words))
+            which = np.fromiter((n for n, _ in words), np.int64, len(words))
+            first = self.used
+            self._keep(which[:0], np.fromiter((i for _, x in words for i in x), np.uint32, int(sizes.sum())), None)
+            self.start[which], self.length[which] = first + np.cumsum(sizes) - sizes, sizes
+        many = 2000
+        groups = ["\n".join(texts[k:k + many]) for k in range(0, len(texts), many)]
+        for k, got in enumerate(self.tokenizer.encode_batch_fast(groups, add_special_tokens=False)):
+            ids = np.array(got.ids, np.uint32)
+            self._keep(np.array(usual[k * many:(k + 1) * many]), ids, np.flatnonzero(ids == self.line_break))
+        if ended:
+            which, core, point = (np.array(x) for x in zip(*ended, strict=True))
+            right = self.length[core] >= 0
+            which, core, point = which[right], core[right], point[right]
+            sizes = self.length[core]
+            ids = np.insert(self.ids[spread(self.start[core], sizes)], np.cumsum(sizes), point.astype(np.uint32))
+            first = self.used
+            self._keep(which[:0], ids, None)
+            self.start[which] = first + np.cumsum(sizes + 1) - sizes - 1
+            self.length[which] = sizes + 1
+
+    def _keep(self, which: np.ndarray, ids: np.ndarray, breaks: np.ndarray | None) -> None:
+        """Store the ids of the chunks ``which``, which stand between the ``breaks``."""
+        while len(self.ids) < self.used + len(ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used:self.used + total] = np.fromiter((i for x in got for i in x), np.uint32, total)
-        to = slice(known, known + len(new))
-        self.start[to] = self.used + np.cumsum(sizes) - sizes
-        self.length[to] = sizes
-        self.used += total
-        for n, c in enumerate(new, known):
-            bare = c.lstrip(_FIRST)
-            if c != "\n" and bare and (bare[0].isspace() or bare[-1].isspace()):
-                self.length[n] = -1
+        self.ids[self.used:self.used + len(ids)] = ids
+        if len(which):
+            edges = np.concatenate([[-1], [] if breaks is None else breaks, [len(ids)]]).astype(np.int64)
+            self.start[which] = self.used + edges[:-1] + 1
+            self.length[which] = np.diff(edges) - 1
+        self.used += len(ids)
+
+    def _trim(self) -> None:
+        n = len(self.numbers)
+        if n <= self.most:
+            return
+        kept = np.argsort(-self.uses[:n], kind="stable")[: self.most // 2]
+        chunks = list(self.numbers)
+        self.numbers = _Numbers()
+        self.numbers.update((chunks[k], i) for i, k in enumerate(kept.tolist()))
+        sizes = np.maximum(self.length[kept], 0)
+        ids = self.ids[spread(self.start[kept], sizes)]
+        self.start[:len(kept)], self.length[:len(kept)] = np.cumsum(sizes) - sizes, self.length[kept]
+        self.uses[:len(kept)], self.uses[len(kept):] = self.uses[kept] // 2, 0
+        self.ids[:len(ids)], self.used = ids, len(ids)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         """By the library alone; very long texts are cut between two letters' single space, which changes no id."""
@@ -74,13 +150,12 @@ class Encoder:
                 parts.append(text[at:m.start()])
                 at = m.start()
             parts.append(text[at:])
-            out.append(np.concatenate([np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, np.uint32) for p in parts]))
+            out.append(np.concatenate([np.array(self._ids(p), np.uint32) for p in parts]))
         return out
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All the ids, one text after another, and how many each text has; null is empty."""
-        if len(self.numbers) > self.most:
-            self.forget()
+        self._trim()
         chunks: list[int] = []
         counts, slow = np.zeros(len(texts), np.int64), []
         number = self.numbers.__getitem__
@@ -96,6 +171,7 @@ class Encoder:
         if self.numbers.new:
             self._learn()
         which = np.array(chunks, np.int64)
+        self.uses += np.bincount(which, minlength=len(self.uses))
         lengths = self.length[which]
         ends = np.concatenate([[0], np.cumsum(counts)])
         if len(which) and lengths.min() < 0:
