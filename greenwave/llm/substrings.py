@@ -79,22 +79,22 @@ def references(docs: DataFrame, window: int) -> DataFrame:
             owner, least, first, size, again = super_k_mers(batch.column("text").to_pylist(), window)
             place = _code(first, size)
             who = pa.array(owner, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(least, pa.int64()), batch.column("doc").take(who), batch.column("tie").take(who), pa.array(np.where(again, -place, place), pa.int64())],
+            yield pa.RecordBatch.from_arrays([pa.array(least, pa.int64()), batch.column("__doc").take(who), batch.column("__tie").take(who), pa.array(np.where(again, -place, place), pa.int64())],
                                              ["minimiser", "doc", "tie", "place"])
 
-    return docs.mapInArrow(run, "minimiser long, doc long, tie long, place long")
+    return docs.select("__doc", "__tie", "text").mapInArrow(run, "minimiser long, doc long, tie long, place long")
 
 
 def packed(docs: DataFrame, window: int, single: bool) -> DataFrame:
-    """The super-k-mers of ``docs`` named in the column ``places``, as strings of words; with ``single``, their windows one by one."""
+    """The super-k-mers of ``docs`` named in the column ``__places``, as strings of words; with ``single``, their windows one by one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, max_bytes=1 << 20):
             texts = batch.column("text").to_pylist()
             owner, least, first, size, _ = super_k_mers(texts, window)
-            wanted = [set(p) for p in batch.column("places").to_pylist()]
+            wanted = [set(p) for p in batch.column("__places").to_pylist()]
             words, last = [], -1
-            docs_, ties = batch.column("doc").to_pylist(), batch.column("tie").to_pylist()
+            docs_, ties = batch.column("__doc").to_pylist(), batch.column("__tie").to_pylist()
             out: list[list] = [[] for _ in range(6)]
             for k, m, a, n, code in zip(owner.tolist(), least.tolist(), first.tolist(), size.tolist(), _code(first, size).tolist(), strict=True):
                 if code not in wanted[k]:
@@ -170,7 +170,7 @@ def sort_buckets(rows: DataFrame, window: int) -> DataFrame:
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
-    """doc, tie, stretches (first word and words of each stretch to remove), for documents that have any.
+    """__doc, __tie, __stretches (first word and words of each stretch to remove), for the documents of ``keyed`` that have any.
 
     1. Only the minimisers are counted first (numbers, no text).  A minimiser that stands in one
        super-k-mer, and once in that, has no equal windows.
@@ -185,8 +185,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     live = cut_lineage(live)
 
     def named(which) -> DataFrame:
-        lists = live.where(which).groupBy("doc", "tie").agg(F.collect_set("place").alias("places"))
-        return docs.join(lists, ["doc", "tie"])
+        lists = live.where(which).groupBy(F.col("doc").alias("__doc"), F.col("tie").alias("__tie")).agg(F.collect_set("place").alias("__places"))
+        return docs.join(lists, ["__doc", "__tie"])  # with all columns, so that Spark lays the texts out once for this and for ``strip``
 
     parts = [sort_buckets(packed(named(~F.col("hot")), window, False), window)]
     if not live.where("hot").isEmpty():
@@ -195,11 +195,12 @@ def repeats(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
         earliest = each.groupBy("words").agg(F.min(place).alias("earliest"), F.count(F.lit(1)).alias("times")).where("times > 1")
         parts.append(each.join(earliest, "words").where(place > F.col("earliest")).select("doc", "tie", "first", "n"))
     found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return found.groupBy("doc", "tie").agg(F.collect_set(F.struct("first", (F.col("n") + (window - 1)).alias("n"))).alias("stretches"))
+    stretch = F.struct("first", (F.col("n") + (window - 1)).alias("n"))
+    return found.groupBy(F.col("doc").alias("__doc"), F.col("tie").alias("__tie")).agg(F.collect_set(stretch).alias("__stretches"))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with the columns doc and tie, which order documents: by doc_id, null first, then by text where an id comes twice."""
+    """``docs`` with the columns __doc and __tie, which order documents: by doc_id, null first, then by text where an id comes twice."""
     twice = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL")
     tie = F.lit(0).cast("long") if twice.isEmpty() else F.xxhash64("text")
     return docs.withColumn("__doc", F.coalesce("doc_id", F.lit(-(1 << 63)))).withColumn("__tie", tie)
@@ -223,9 +224,7 @@ def strip(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     come before all others.  An empty table gives no rows.
     """
     own = keyed(docs)
-    slim = own.select(F.col("__doc").alias("doc"), F.col("__tie").alias("tie"), "text")
-    gone = repeats(slim, window, hot).withColumnsRenamed({"doc": "__doc", "tie": "__tie", "stretches": "__stretches"})
-    joined = own.join(gone, ["__doc", "__tie"], "left").select(*docs.columns, "__stretches")
+    joined = own.join(repeats(own, window, hot), ["__doc", "__tie"], "left").select(*docs.columns, "__stretches")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
