@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import lgamma
+from math import erfc, lgamma
 
 import numpy as np
 import pandas as pd
@@ -80,27 +80,51 @@ def gamma_cdf_at_one(shape: Column, rate: Column) -> Column:
     return F.nanvl(cdf(shape, rate), F.lit(None).cast("double"))
 
 
+#: Above this shape the uniform asymptotic expansion is exact to about 1e-10, and the others would take many steps.
+LARGE_SHAPE = 1e5
+
+
 def _lower_gamma(a, x, lgam):
-    """Regularized lower incomplete gamma for arrays, by series or continued fraction."""
-    lead = np.exp(np.clip(a * np.log(x) - x - lgam, -745, 700))
-    # power series, good for x < a + 1
+    """Regularized lower incomplete gamma for arrays, by series, continued fraction or, for large shapes, asymptotic expansion."""
+    out = np.empty_like(x)
+    large = a > LARGE_SHAPE
+    series = ~large & (x < a + 1)
+    rest = ~large & ~series
+    if large.any():
+        out[large] = _gamma_large(a[large], x[large])
+    if series.any():
+        out[series] = _gamma_series(a[series], x[series], lgam[series])
+    if rest.any():
+        out[rest] = 1 - _gamma_fraction(a[rest], x[rest], lgam[rest])
+    return np.clip(out, 0, 1)
+
+
+def _gamma_lead(a, x, lgam):
+    return np.exp(np.clip(a * np.log(x) - x - lgam, -745, 700))
+
+
+def _gamma_series(a, x, lgam):
+    """Power series for x < a + 1; its terms fall, so it always ends."""
     term = 1.0 / a
-    series = term.copy()
+    total = term.copy()
     n = a.copy()
-    for _ in range(2000):
+    while np.any(term >= total * 1e-16):
         n = n + 1
         term = term * x / n
-        series = series + term
-        if np.all(term < series * 1e-16):
-            break
-    low = lead * series
-    # continued fraction (modified Lentz), good for x >= a + 1
+        total = total + term
+    return _gamma_lead(a, x, lgam) * total
+
+
+def _gamma_fraction(a, x, lgam):
+    """The upper function by continued fraction (modified Lentz) for x >= a + 1, run until it stands still."""
     tiny = 1e-300
     b = x + 1 - a
     c = np.full_like(x, 1 / tiny)
     d = 1 / np.where(b == 0, tiny, b)
     h = d.copy()
-    for i in range(1, 2000):
+    i, step = 0, np.full_like(x, 2.0)
+    while np.any(np.abs(step - 1) >= 1e-15):
+        i += 1
         an = -i * (i - a)
         b = b + 2
         d = an * d + b
@@ -109,7 +133,15 @@ def _lower_gamma(a, x, lgam):
         c = np.where(np.abs(c) < tiny, tiny, c)
         step = d * c
         h = h * step
-        if np.all(np.abs(step - 1) < 1e-15):
-            break
-    with np.errstate(invalid="ignore", over="ignore"):
-        return np.clip(np.where(x < a + 1, low, 1 - lead * h), 0, 1)
+    return _gamma_lead(a, x, lgam) * h
+
+
+def _gamma_large(a, x):
+    """First term of the uniform expansion around x = a."""
+    mu = (x - a) / a
+    eta = np.sign(mu) * np.sqrt(2 * np.maximum(mu - np.log1p(mu), 0))
+    near = np.abs(mu) < 1e-3
+    with np.errstate(divide="ignore", invalid="ignore"):
+        first = np.where(near, -1 / 3 + eta / 12 - 2 * eta**2 / 135, 1 / mu - 1 / eta)
+    main = np.array([erfc(v) for v in -eta * np.sqrt(a / 2)]) / 2
+    return main - np.exp(-a * eta**2 / 2) / np.sqrt(2 * np.pi * a) * first

@@ -28,7 +28,9 @@ def floor_hour(ts) -> Column:
 
 
 def floor_minutes(ts, minutes: int) -> Column:
-    """Start of the ``minutes``-wide bucket; ``minutes`` must divide 60 or be a multiple of 60 up to a day."""
+    """Start of the ``minutes``-wide bucket; ``minutes`` must divide an hour, or be whole hours that divide a day."""
+    if minutes <= 0 or (60 % minutes and (minutes % 60 or 1440 % minutes)):
+        raise ValueError(f"{minutes} minutes neither divide an hour nor are hours that divide a day")
     if minutes % 60 == 0:
         hours = minutes // 60
         back = F.hour(col(ts)) % hours

@@ -71,6 +71,8 @@ def alerts(parts: Sequence[DataFrame], today=None, days: int | None = 180, cap:
         rows = part if rows is None else rows.unionByName(part)
     if today is not None and days is not None:
         rows = rows.where(F.col("Date") > F.date_sub(F.lit(today).cast("date"), days))
+    # signals without a corridor are not reported; a missing detector or phase is 0
+    rows = rows.where(F.col("Corridor").isNotNull()).withColumns({c: F.coalesce(c, F.lit("0")) for c in ("Detector", "CallPhase")})
     rows = rows.distinct()
     later = Window.partitionBy("SignalID", "Detector").orderBy(
         F.desc("Alert"), F.desc("CallPhase"), F.desc("Date")).rowsBetween(Window.unboundedPreceding, 0)

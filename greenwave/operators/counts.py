@@ -183,15 +183,16 @@ def cap_detectors(filtered: DataFrame, caps: DataFrame) -> DataFrame:
 def adjusted_counts(filtered: DataFrame, max_estimate: float = 3000) -> DataFrame:
     """Fill the gaps of bad detectors from their siblings, then from the monthly median of the hour.
 
+    A detector's share of its phase is that of the month, so several months may come in one call.
     Windows run over one phase's detectors in one period, a handful of rows.
     """
     phase_time = Window.partitionBy("SignalID", "CallPhase", "Timeperiod")
     df = filtered.select("SignalID", "CallPhase", "Detector", "Timeperiod", "Month_Hour",
-                         tp.dow("Timeperiod").alias("DOW"), F.col("vol").cast("double").alias("vol"))
+                         tp.dow("Timeperiod").alias("DOW"), F.trunc(tp.day("Timeperiod"), "month").alias("_month"), F.col("vol").cast("double").alias("vol"))
     df = df.withColumn("_missing", F.count_if(F.col("vol").isNull()).over(phase_time))
-    volumes = df.where("_missing = 0").groupBy("SignalID", "CallPhase", "Detector").agg(F.sum("vol").alias("_v"))
-    shares = volumes.withColumn("Ph_Contr", ratio("_v", F.sum("_v").over(Window.partitionBy("SignalID", "CallPhase")))).drop("_v")
-    df = df.join(shares, ["SignalID", "CallPhase", "Detector"], "left")
+    volumes = df.where("_missing = 0").groupBy("SignalID", "CallPhase", "_month", "Detector").agg(F.sum("vol").alias("_v"))
+    shares = volumes.withColumn("Ph_Contr", ratio("_v", F.sum("_v").over(Window.partitionBy("SignalID", "CallPhase", "_month")))).drop("_v")
+    df = df.join(shares, ["SignalID", "CallPhase", "_month", "Detector"], "left")
     whole = F.avg(ratio("vol", "Ph_Contr")).over(phase_time)
     endless = F.count_if((F.col("vol") > 0) & (F.col("Ph_Contr") == 0)).over(phase_time)
     df = df.withColumn("_whole", F.when(endless == 0, whole))

@@ -178,7 +178,9 @@ def corridor_summary(frames: Sequence[tuple[DataFrame, str, str]], is_zone) -> D
     return wide.join(first, keys, "left_semi").where(is_zone(F.col("Zone_Group")) & ~is_zone(F.col("Corridor")))
 
 
-def metrics_by_corridor(summary: DataFrame, metrics: Sequence[str], corridors: Sequence[str]) -> DataFrame:
-    """One row per zone group, month and metric, one column per corridor."""
+def metrics_by_corridor(summary: DataFrame, metrics: Sequence[str], corridors: Sequence[str] | None = None) -> DataFrame:
+    """One row per zone group, month, metric and corridor; with ``corridors``, a column for each of these instead."""
     long = summary.unpivot(["Zone_Group", "Corridor", "Month"], list(metrics), "Metric", "value")
+    if corridors is None:
+        return long.groupBy("Zone_Group", "Month", "Metric", "Corridor").agg(F.max("value").alias("value"))
     return long.groupBy("Zone_Group", "Month", "Metric").pivot("Corridor", list(corridors)).agg(F.max("value"))

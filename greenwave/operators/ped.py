@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from greenwave.functions import timeparts as tp
 from greenwave.functions.grid import densify, densify_seen, first_value
@@ -20,7 +20,7 @@ def too_high(paph: DataFrame, since=None) -> DataFrame:
     """
     rows = paph.withColumn("Date", tp.day("Hour")) if "Date" not in paph.columns else paph
     if since is not None:
-        rows = rows.where(F.col("Date") >= F.lit(since).cast("date"))
+        rows = rows.where(F.col("Date") >= (since if isinstance(since, Column) else F.lit(since)).cast("date"))
     hour, x = F.hour("Hour"), F.col("paph").cast("double")
     day = [*INPUT, "Date"]
 
@@ -86,7 +86,7 @@ def ped_input_uptime(papd: DataFrame, paph: DataFrame, corridors: DataFrame, sta
     pz = scored.withColumn("_p", F.when(F.count_if(F.col("p0").isNull()).over(run) == 0, product))
     problow = F.when(F.col("streak_id").isNull(), F.lit(0.0)).otherwise(1 - F.col("_p"))
     out = pz.withColumn("problow", problow).where(F.col("Date") >= calc)
-    out = out.join(too_high(paph, None), [*INPUT, "Date"], "left").withColumn("toohigh", F.coalesce("toohigh", F.lit(False)))
+    out = out.join(too_high(paph, calc), [*INPUT, "Date"], "left").withColumn("toohigh", F.coalesce("toohigh", F.lit(False)))
     bad = (F.col("problow") > 0.99) | F.col("toohigh")
     return out.select(*INPUT, "Date", tp.dow("Date").alias("DOW"), tp.week_index("Date").alias("Week"), "papd", "problow",
                       F.col("toohigh").cast("int").alias("probhigh"), F.when(bad, 0).when(~bad, 1).alias("uptime"),

@@ -268,10 +268,17 @@ def quarterly(monthly: DataFrame, value: str, weight: str | None = None, operati
 
 # ---- signals as corridors ---------------------------------------------------
 def signals_as_corridors(df: DataFrame, cor_df: DataFrame, corridors: DataFrame, identifier: str = "SignalID") -> DataFrame:
-    """Signal (or camera) rows re-keyed as corridors of their corridor, with the corridor rows appended."""
-    names = (corridors.groupBy(identifier, "Corridor")
-             .agg(F.min("Description").alias("Description") if identifier == "SignalID" else F.lit(None).cast("string").alias("Description")))
-    own = df.drop("Corridor", "Zone_Group", "Subcorridor", "Description").join(names, identifier)
+    """Signal (or camera) rows re-keyed as corridors of their corridor, with the corridor rows appended.
+
+    Every row stays: one whose signal is in no corridor has no zone group.  Cameras are matched within the corridor that
+    their row names.  ``Name`` comes from the configuration (for cameras their location).
+    """
+    label = next((c for c in ("Name", "Location") if c in corridors.columns), None)
+    about = [F.min("Description").alias("Description") if identifier == "SignalID" else F.lit(None).cast("string").alias("Description")]
+    names = corridors.groupBy(identifier, "Corridor").agg(*about, *([F.min(label).alias("Name")] if label else []))
+    by_corridor = identifier != "SignalID" and "Corridor" in df.columns
+    dropped = ["Zone_Group", "Subcorridor", "Description", "Name", *([] if by_corridor else ["Corridor"])]
+    own = df.drop(*dropped).join(names, [identifier, "Corridor"] if by_corridor else identifier, "left")
     own = own.withColumnRenamed("Corridor", "Zone_Group").withColumn("Corridor", F.col(identifier).cast("string")).drop(identifier)
     own = own.withColumn("Description", F.coalesce("Description", "Corridor"))
     kept = cor_df.join(names.select("Corridor").distinct(), "Corridor", "left_semi")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -147,7 +149,6 @@ def outstanding_events(tasks: DataFrame, group: str, place: str = "Zone_Group")
 
 # ---- locations --------------------------------------------------------------
 EARTH_METERS = 6371000.0
-CELL_DEGREES = 0.0025  # wider than 100 m in both directions up to 60 degrees of latitude
 
 
 def meters_between(lat1, lon1, lat2, lon2) -> Column:
@@ -158,19 +159,30 @@ def meters_between(lat1, lon1, lat2, lon2) -> Column:
 
 
 def nearest(points: DataFrame, others: DataFrame, point_id: str, other_id: str, within: float = 100.0) -> DataFrame:
-    """Each point's nearest other within ``within`` metres (at most 100), ties to the smallest id.
+    """Each point's nearest other within ``within`` metres, ties to the smallest id.
 
-    Points meet others of their own and neighbouring grid cells only.  Others at one position are one
+    Points meet others of their own and neighbouring grid cells only.  Rows of cells are as high as ``within``; in each row
+    the cells are as wide as ``within`` where the parallels around it are shortest, and go around the
+    globe.  So no pair is missed, whatever the distance and latitude.  Others at one position are one
     candidate, so copies of a position cost nothing.
     """
-    sites = others.groupBy("Latitude", "Longitude").agg(F.min(other_id).alias(other_id))
-    cell = lambda c: F.floor(F.col(c) / CELL_DEGREES)
+    high = min(180.0, math.degrees(within / EARTH_METERS) * 1.001 + 1e-9)
+
+    def columns(row: Column) -> Column:
+        """How many cells a row has."""
+        edge = F.greatest(F.abs((row - 1) * high), F.abs((row + 2) * high))
+        ring = F.cos(F.radians(F.least(edge, F.lit(90.0))))
+        return F.greatest(F.lit(1), F.floor(F.least(ring * 360.0 * 0.99 / high, F.lit(1e15)))).cast("long")
+
+    row = lambda c: F.floor(F.col(c) / high)
+    column = lambda lon, n: F.pmod(F.floor((lon + 180.0) / 360.0 * n), n)
     around = F.explode(F.sequence(F.lit(-1), F.lit(1)))
-    sites = sites.withColumn("_x", cell("Latitude")).withColumn("_y", cell("Longitude"))
-    sites = sites.withColumn("_dx", around).withColumn("_dy", around).withColumns(
-        {"_x": F.col("_x") + F.col("_dx"), "_y": F.col("_y") + F.col("_dy")}).drop("_dx", "_dy")
-    sites = sites.withColumnsRenamed({"Latitude": "_lat", "Longitude": "_lon"})
-    pts = points.select(point_id, "Latitude", "Longitude", cell("Latitude").alias("_x"), cell("Longitude").alias("_y"))
+    sites = others.groupBy("Latitude", "Longitude").agg(F.min(other_id).alias(other_id))
+    sites = sites.withColumn("_dx", around).withColumn("_x", row("Latitude") + F.col("_dx")).withColumn("_n", columns(F.col("_x")))
+    sites = sites.withColumn("_dy", around).withColumn("_y", F.pmod(column(F.col("Longitude"), F.col("_n")) + F.col("_dy"), F.col("_n")))
+    sites = sites.drop("_dx", "_dy", "_n").distinct().withColumnsRenamed({"Latitude": "_lat", "Longitude": "_lon"})
+    pts = points.select(point_id, "Latitude", "Longitude", row("Latitude").alias("_x"))
+    pts = pts.withColumn("_y", column(F.col("Longitude"), columns(F.col("_x"))))
     near = pts.join(sites, ["_x", "_y"]).withColumn("m", meters_between(F.col("Latitude"), F.col("Longitude"), F.col("_lat"), F.col("_lon")))
     best = near.where(F.col("m") < within).groupBy(point_id).agg(F.min(F.struct("m", other_id)).alias("_b"))
     return best.select(point_id, f"_b.{other_id}", "_b.m")

@@ -18,11 +18,20 @@ def camera_activity(log: DataFrame) -> DataFrame:
 
 
 def daily_camera_uptime(activity: DataFrame, cameras: DataFrame, start=None) -> DataFrame:
-    """Every configured camera on every day of the range: up when its activity is above zero."""
+    """Every configured camera on every day of the range: up when its activity is above zero.
+
+    The range goes from the first to the last day on which any camera is up; a camera that is never up brings ``start`` into it.
+    """
     rows = activity if start is None else activity.where(F.col("Date") >= F.lit(start).cast("date"))
     up = rows.where(F.col("Size") > 0).select("CameraID", "Date").distinct()
-    b = bounds(up, "Date")
-    grid = spread(cameras, "Date", b["lo"], b["hi"], day_step()).where(F.col("Date") >= F.col("As_of_Date"))
+    b = bounds(up.join(cameras.select("CameraID").distinct(), "CameraID", "left_semi"), "Date")
+    low, high = b["lo"], b["hi"]
+    if start is not None:
+        first = F.lit(start).cast("date")
+        silent = cameras.select("CameraID").join(up, "CameraID", "left_anti").select(F.count(F.lit(1)) > 0).scalar()
+        low = F.when(silent, F.least(low, first)).otherwise(low)
+        high = F.when(silent, F.greatest(high, first)).otherwise(high)
+    grid = spread(cameras, "Date", low, high, day_step()).where(F.col("Date") >= F.col("As_of_Date"))
     out = grid.join(up.withColumn("_up", F.lit(1.0)), ["CameraID", "Date"], "left")
     up_col = F.coalesce("_up", F.lit(0.0))
     return out.select("CameraID", "Date", up_col.alias("up"), F.lit(1.0).alias("num"), up_col.alias("uptime"),
@@ -32,10 +41,16 @@ def daily_camera_uptime(activity: DataFrame, cameras: DataFrame, start=None) ->
 def combined_camera_uptime(web: DataFrame, encoder: DataFrame, min_overall: float = 0.2) -> DataFrame:
     """Public-site and encoder feeds together: up is 2 on the site, 1 at the encoder only, 0 otherwise.
 
-    Days on which the whole system is below ``min_overall`` are dropped as collection failures.
+    Every camera has a row on every date that any row has.  Days on which the whole system is below ``min_overall`` are dropped as collection failures.
     """
     keys = [c for c in web.columns if c not in ("up", "num", "uptime", "SignalID")]
-    both = (web.select(*keys, F.col("up").alias("up_web"), F.lit(None).cast("double").alias("up_enc"))
+    none = F.lit(None).cast("double")
+    seen = web.select(*keys).unionByName(encoder.select(*keys))
+    dates = seen.select("Date").distinct()
+    span = bounds(seen, "Date")
+    grid = (spread(seen.drop("Date").distinct(), "Date", span["lo"], span["hi"], day_step()).join(dates, "Date", "left_semi")
+            .select(*keys, none.alias("up_web"), none.alias("up_enc")))
+    both = (grid.unionByName(web.select(*keys, F.col("up").alias("up_web"), none.alias("up_enc")))
             .unionByName(encoder.select(*keys, F.lit(None).cast("double").alias("up_web"), F.col("up").alias("up_enc")))
             .groupBy(*keys).agg(F.coalesce(F.max("up_web"), F.lit(0.0)).alias("up_web"), F.coalesce(F.max("up_enc"), F.lit(0.0)).alias("up_enc")))
     out = both.withColumns({"uptime": F.col("up_web"), "num": F.lit(1.0),

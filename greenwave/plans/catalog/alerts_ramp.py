@@ -20,7 +20,7 @@ TODAY = "2024-06-01"
 
 
 def streaks(src):
-    return f"""SELECT * FROM (WITH d AS (SELECT DISTINCT * REPLACE (CASE WHEN ramp THEN 'Ramp Meters' ELSE Zone END AS Zone) FROM (SELECT *, false AS ramp FROM ({src})) WHERE Date > DATE '{TODAY}' - 180),
+    return f"""SELECT * FROM (WITH d AS (SELECT DISTINCT * REPLACE (CASE WHEN ramp THEN 'Ramp Meters' ELSE Zone END AS Zone) FROM (SELECT *, false AS ramp FROM (SELECT * REPLACE (coalesce(CAST(Detector AS VARCHAR), '0') AS Detector, coalesce(CAST(CallPhase AS VARCHAR), '0') AS CallPhase) FROM ({src}) WHERE Corridor IS NOT NULL)) WHERE Date > DATE '{TODAY}' - 180),
     f AS (SELECT * REPLACE (coalesce(first_value(ApproachDesc IGNORE NULLS) OVER (PARTITION BY SignalID, Detector ORDER BY Alert, CallPhase NULLS FIRST, Date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), '') AS ApproachDesc) FROM d),
     g AS (SELECT *, CASE WHEN Date - lag(Date) OVER w <= 1 THEN 0 ELSE 1 END AS nw FROM f WINDOW w AS (PARTITION BY Zone_Group, Zone, SignalID, CallPhase, Detector, Alert ORDER BY Date, Corridor NULLS FIRST, Name NULLS FIRST, ApproachDesc)),
     h AS (SELECT *, sum(nw) OVER (PARTITION BY Zone_Group, Zone, SignalID, CallPhase, Detector, Alert ORDER BY Date, Corridor NULLS FIRST, Name NULLS FIRST, ApproachDesc) AS run FROM g)

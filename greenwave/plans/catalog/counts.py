@@ -118,11 +118,11 @@ SELECT * EXCLUDE (max_vol, g), CASE WHEN max_vol IS NULL THEN g WHEN vol IS NULL
 
 
 def adjusted_sql(src: str) -> str:
-    return f"""SELECT * FROM (WITH fc AS (SELECT SignalID, CallPhase, Detector, Timeperiod, Month_Hour, {dow('Timeperiod')} AS DOW, vol FROM {src}),
+    return f"""SELECT * FROM (WITH fc AS (SELECT SignalID, CallPhase, Detector, Timeperiod, Month_Hour, {dow('Timeperiod')} AS DOW, date_trunc('month', Timeperiod) AS mon, vol FROM {src}),
     m AS (SELECT *, count(*) FILTER (vol IS NULL) OVER (PARTITION BY SignalID, CallPhase, Timeperiod) AS na FROM fc),
-    v AS (SELECT SignalID, CallPhase, Detector, sum(vol) AS v FROM m WHERE na = 0 GROUP BY ALL),
-    s AS (SELECT SignalID, CallPhase, Detector, v / nullif(sum(v) OVER (PARTITION BY SignalID, CallPhase), 0) AS contr FROM v),
-    j AS (SELECT fc.*, contr FROM fc LEFT JOIN s USING (SignalID, CallPhase, Detector)),
+    v AS (SELECT SignalID, CallPhase, mon, Detector, sum(vol) AS v FROM m WHERE na = 0 GROUP BY ALL),
+    s AS (SELECT SignalID, CallPhase, mon, Detector, v / nullif(sum(v) OVER (PARTITION BY SignalID, CallPhase, mon), 0) AS contr FROM v),
+    j AS (SELECT fc.*, contr FROM fc LEFT JOIN s USING (SignalID, CallPhase, mon, Detector)),
     w AS (SELECT *, CASE WHEN count(*) FILTER (vol > 0 AND contr = 0) OVER p = 0 THEN avg(vol / nullif(contr, 0)) OVER p END AS whole
       FROM j WINDOW p AS (PARTITION BY SignalID, CallPhase, Timeperiod)),
     z AS (SELECT *, coalesce(vol, trunc(round((CASE WHEN whole <= 3000 THEN whole END) * contr, 6))) AS vol2 FROM w),

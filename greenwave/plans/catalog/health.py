@@ -85,10 +85,9 @@ SF = " ".join(f"{k} {k}_delta" for k in _src)
 register("h1_monthly_summary", lambda t: hl.monthly_summary(frames(t)), SUMMARY, SF, extra=SUM)
 register("h6_corridor_summary", lambda t: hl.corridor_summary(frames(t), lambda c: ~c.startswith("Corridor")),
          f"SELECT * FROM ({SUMMARY}) SEMI JOIN sum_vpd USING (Zone_Group, Corridor, Month) WHERE Zone_Group NOT LIKE 'Corridor%' AND Corridor LIKE 'Corridor%'", SF, extra=SUM)
-register("h6_metrics_by_corridor", lambda t: hl.metrics_by_corridor(hl.monthly_summary(frames(t)), ["vpd", "aog"], ["Corridor 0", "Corridor 1", "Corridor 2"]),
-         "SELECT Zone_Group, Month, Metric, " + ", ".join(f"max(v) FILTER (Corridor = 'Corridor {i}') AS \"Corridor {i}\"" for i in range(3)) +
-         f" FROM (SELECT Zone_Group, Corridor, Month, 'vpd' AS Metric, vpd AS v FROM ({SUMMARY}) UNION ALL SELECT Zone_Group, Corridor, Month, 'aog', aog FROM ({SUMMARY})) GROUP BY Zone_Group, Month, Metric",
-         "Corridor 0|Corridor 1|Corridor 2", extra=SUM)
+register("h6_metrics_by_corridor", lambda t: hl.metrics_by_corridor(hl.monthly_summary(frames(t)), ["vpd", "aog"]),
+         f"SELECT Zone_Group, Month, Metric, Corridor, max(v) AS value FROM (SELECT Zone_Group, Corridor, Month, 'vpd' AS Metric, vpd AS v FROM ({SUMMARY}) UNION ALL SELECT Zone_Group, Corridor, Month, 'aog', aog FROM ({SUMMARY})) GROUP BY ALL",
+         "value", extra=SUM)
 
 
 def signal_input(t):

@@ -17,7 +17,7 @@ HIGH = """SELECT * FROM (WITH h AS (SELECT Date, count(DISTINCT Hour) AS n FROM
   o AS (SELECT SignalID, Detector, CallPhase, Date FROM s GROUP BY ALL HAVING count(*) FILTER (paph > greatest(1, second) * 100 AND paph > 300) >= 4)
   SELECT * FROM d UNION SELECT * FROM e UNION (SELECT o.* FROM o SEMI JOIN (SELECT SignalID FROM ped_hourly GROUP BY ALL HAVING count(DISTINCT (Detector, CallPhase)) > 1) k USING (SignalID)))"""
 START, CALC = "2024-01-10", "2024-02-01"
-PAU = {"high": HIGH, "dense": f"""SELECT * FROM (WITH k AS (SELECT DISTINCT {I} FROM ped_daily), days AS (SELECT DISTINCT Date FROM ped_daily),
+PAU = {"high": HIGH, "high_since": HIGH.replace("ped_hourly", f"(SELECT * FROM ped_hourly WHERE Date >= DATE '{CALC}')"), "dense": f"""SELECT * FROM (WITH k AS (SELECT DISTINCT {I} FROM ped_daily), days AS (SELECT DISTINCT Date FROM ped_daily),
     g AS (SELECT k.*, Date, coalesce(papd, 0) AS papd FROM k CROSS JOIN days LEFT JOIN ped_daily USING (SignalID, Detector, CallPhase, Date)),
     l AS (SELECT *, last_value(CASE WHEN papd <> 0 THEN Date END IGNORE NULLS) OVER (PARTITION BY {I} ORDER BY Date) AS lst FROM g)
     SELECT l.SignalID, l.Detector, l.CallPhase, l.Date, papd, dayofweek(l.Date) BETWEEN 1 AND 5 AS weekday, CASE WHEN papd > 0 THEN NULL ELSE lst END AS streak_id
@@ -31,7 +31,7 @@ PAU = {"high": HIGH, "dense": f"""SELECT * FROM (WITH k AS (SELECT DISTINCT {I}
       FROM s WINDOW w AS (PARTITION BY {I}, streak_id))
     SELECT {I}, Date, {dow('Date')} AS DOW, {week('Date')} AS Week, papd, problow, CASE WHEN h THEN 1 ELSE 0 END AS probhigh,
       CASE WHEN problow > 0.99 OR h THEN 0 WHEN problow <= 0.99 AND NOT h THEN 1 END AS uptime, 1 AS "all"
-    FROM (SELECT r.*, hh.SignalID IS NOT NULL AS h FROM r LEFT JOIN high hh USING (SignalID, Detector, CallPhase, Date)) WHERE Date >= DATE '{CALC}')"""}
+    FROM (SELECT r.*, hh.SignalID IS NOT NULL AS h FROM r LEFT JOIN high_since hh USING (SignalID, Detector, CallPhase, Date)) WHERE Date >= DATE '{CALC}')"""}
 
 
 def pau(t):
@@ -68,8 +68,25 @@ CAM = {"activity": """SELECT CameraID, Date, coalesce(stddev_samp(Size), 0) AS S
          LEFT JOIN (SELECT DISTINCT CameraID, Date FROM activity WHERE Size > 0) a ON a.CameraID = g.CameraID AND a.Date = g.d WHERE g.d >= As_of_Date"""}
 _enc = CAM["camup"].replace("FROM activity WHERE Size > 0", "FROM camera_log WHERE Size > 20")
 CAM["camenc"] = _enc
+CAM_START = "2023-12-20"  # before the first day of the log
+
+
+def _since_start(sql, seen):
+    """The range of days also has the start if a configured camera was never up."""
+    silent = f"EXISTS (SELECT 1 FROM camtree WHERE CameraID NOT IN (SELECT CameraID FROM {seen}))"
+    up_days = f"FROM {seen} AND CameraID IN (SELECT CameraID FROM camtree)"
+    for f, pick in (("min", "least"), ("max", "greatest")):
+        old = f"(SELECT {f}(Date) FROM {seen})"
+        assert old in sql
+        sql = sql.replace(old, f"(SELECT CASE WHEN {silent} THEN {pick}({f}(Date), DATE '{CAM_START}') ELSE {f}(Date) END {up_days})")
+    return sql
+
+
+CAM["camup"], CAM["camenc"] = _since_start(CAM["camup"], "activity WHERE Size > 0"), _since_start(CAM["camenc"], "camera_log WHERE Size > 20")
 CAM["comb"] = """SELECT * FROM (WITH b AS (SELECT CameraID, Date, Zone_Group, Zone, Corridor, Subcorridor, coalesce(max(u5), 0) AS up_web, coalesce(max(ue), 0) AS up_enc FROM
-    (SELECT CameraID, Date, Zone_Group, Zone, Corridor, Subcorridor, up AS u5, NULL AS ue FROM camup UNION ALL SELECT CameraID, Date, Zone_Group, Zone, Corridor, Subcorridor, NULL, up FROM camenc) GROUP BY ALL)
+    (SELECT CameraID, Date, Zone_Group, Zone, Corridor, Subcorridor, up AS u5, NULL AS ue FROM camup UNION ALL SELECT CameraID, Date, Zone_Group, Zone, Corridor, Subcorridor, NULL, up FROM camenc
+      UNION ALL SELECT CameraID, Date, Zone_Group, Zone, Corridor, Subcorridor, NULL, NULL FROM
+      (SELECT DISTINCT CameraID, Zone_Group, Zone, Corridor, Subcorridor FROM (SELECT * FROM camup UNION ALL SELECT * FROM camenc)) CROSS JOIN (SELECT DISTINCT Date FROM (SELECT * FROM camup UNION ALL SELECT * FROM camenc))) GROUP BY ALL)
     SELECT *, up_web AS uptime, 1.0 AS num, greatest(up_web * 2, up_enc) AS up FROM b WHERE Date NOT IN (SELECT Date FROM b GROUP BY Date HAVING avg(up_web) < 0.2))"""
 
 
@@ -78,11 +95,11 @@ def cams(t):
 
 
 def cam_up(t):
-    return up.daily_camera_uptime(up.camera_activity(t.camera_log), cams(t))
+    return up.daily_camera_uptime(up.camera_activity(t.camera_log), cams(t), CAM_START)
 
 
 def enc_up(t):
-    return up.daily_camera_uptime(t.camera_log.where(F.col("Size") > 20), cams(t))
+    return up.daily_camera_uptime(t.camera_log.where(F.col("Size") > 20), cams(t), CAM_START)
 
 
 def combined(t):

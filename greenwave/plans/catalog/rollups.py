@@ -183,8 +183,8 @@ _md = rs.monthly_avg_by_day(f"SELECT * FROM metrics_daily WHERE {rs.MIDWEEK}", "
 register("d13_signals_as_corridors", lambda t: ru.signals_as_corridors(
     ru.monthly_avg_by_day(midweek(t.metrics_daily), "vpd"),
     ru.cor_monthly_avg_by_day(ru.monthly_avg_by_day(midweek(t.metrics_daily), "vpd"), t.corridors, "vpd").drop("ones"), t.corridors),
-    f"""WITH n AS (SELECT SignalID, Corridor, min(Description) AS Description FROM corridors GROUP BY ALL),
+    f"""WITH n AS (SELECT SignalID, Corridor, min(Description) AS Description, min(Name) AS Name FROM corridors GROUP BY ALL),
     sig AS ({_md}), cor AS ({_cm})
-    SELECT n.Corridor AS Zone_Group, CAST(s.SignalID AS VARCHAR) AS Corridor, Month, vpd, delta, coalesce(n.Description, CAST(s.SignalID AS VARCHAR)) AS Description
-    FROM sig s JOIN n ON s.SignalID = n.SignalID
-    UNION ALL SELECT Corridor, Corridor, Month, vpd, delta, Corridor FROM cor WHERE Corridor IN (SELECT Corridor FROM n)""", "vpd delta")
+    SELECT n.Corridor AS Zone_Group, CAST(s.SignalID AS VARCHAR) AS Corridor, Month, vpd, delta, coalesce(n.Description, CAST(s.SignalID AS VARCHAR)) AS Description, n.Name
+    FROM sig s LEFT JOIN n ON s.SignalID = n.SignalID
+    UNION ALL SELECT Corridor, Corridor, Month, vpd, delta, Corridor, NULL FROM cor WHERE Corridor IN (SELECT Corridor FROM n)""", "vpd delta")

@@ -173,8 +173,8 @@ def audited(t):
 
 _aud = "SELECT 'sig_dy_vpd' AS \"table\", Date AS date, count(*) AS records FROM metrics_daily GROUP BY ALL UNION ALL SELECT 'sig_dy_aog', Date, count(*) FROM metrics_hourly GROUP BY ALL UNION ALL SELECT 'sig_wk_cnt', CAST(Timeperiod AS DATE), count(*) FROM counts_1hr GROUP BY ALL"
 register("s15_result_table_counts", audited, _aud)
-register("s15_audit_matrix", lambda t: sinks.audit_matrix(audited(t), ["2024-01-17", "2024-01-18"], "dy"),
-         f"SELECT \"table\", CAST(sum(records) FILTER (date = DATE '2024-01-17') AS BIGINT) AS \"2024-01-17\", CAST(sum(records) FILTER (date = DATE '2024-01-18') AS BIGINT) AS \"2024-01-18\" FROM ({_aud}) WHERE \"table\" LIKE '%\\_dy\\_%' ESCAPE '\\' GROUP BY \"table\"")
+register("s15_audit_matrix", lambda t: sinks.audit_matrix(audited(t), resolution="dy"),
+         f"SELECT \"table\", date, CAST(sum(records) AS BIGINT) AS records FROM ({_aud}) WHERE \"table\" LIKE '%\\_dy\\_%' ESCAPE '\\' GROUP BY ALL")
 
 
 def two_sources(t):

@@ -104,10 +104,15 @@ def result_table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def audit_matrix(counts: DataFrame, dates: Sequence[str], resolution: str | None = None) -> DataFrame:
-    """Tables by date, for one resolution ('dy', 'wk', 'mo', 'qu') of table names like cor_dy_vpd."""
+def audit_matrix(counts: DataFrame, dates: Sequence[str] | None = None, resolution: str | None = None) -> DataFrame:
+    """Records by table and date, for one resolution ('dy', 'wk', 'mo', 'qu') of table names like cor_dy_vpd.
+
+    All dates come as rows; with ``dates``, a column for each of these instead.
+    """
     if resolution:
         counts = counts.where(F.split_part("table", F.lit("_"), F.lit(2)) == resolution)
+    if dates is None:
+        return counts.groupBy("table", "date").agg(F.sum("records").alias("records"))
     rows = counts.withColumn("_d", F.col("date").cast("string"))
     return rows.groupBy("table").pivot("_d", list(dates)).agg(F.sum("records"))
 
