@@ -116,12 +116,25 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 5 == 0, F.lit(True))
 
 
-def learn(stats: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ensemble:
-    """An ensemble from the labelled rows that are not held out, at most ``sample`` of them."""
-    marked = labels.where("quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").cast("double").alias("__label"))
-    rows = stats.where(~held_out()).select("doc_id", *[f"__{f}" for f in FEATURES]).join(marked, "doc_id")
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ensemble:
+    """An ensemble from labelled rows that are not held out, at most ``sample`` of them.
+
+    The labels are picked first, so that only the statistics of those few texts are worked out; their ids are broadcast.
+    """
+    marked = labels.where("quality IS NOT NULL").where(~held_out()).groupBy("doc_id").agg(F.max("quality").cast("double").alias("__label"))
+    picked = cut_lineage(marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)).withColumnRenamed("doc_id", "__picked")
+    rows = with_statistics(docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("__picked")))
     order = [F.xxhash64("doc_id"), "doc_id", *[f"__{f}" for f in FEATURES]]
-    return fit(cut_lineage(rows.orderBy(*order).limit(sample).drop("doc_id")))
+    return fit(cut_lineage(rows.select("doc_id", "__label", *[f"__{f}" for f in FEATURES]).orderBy(*order).limit(sample).drop("doc_id")))
+
+
+def with_score(docs: DataFrame, model: Ensemble) -> DataFrame:
+    """``docs`` with __score and __row.
+
+    The row number is there so that a filter on the score stays above it: else Catalyst would copy the statistics
+    into every rule of the filter and work them out each time.
+    """
+    return with_statistics(docs).select(*docs.columns, model.score().alias("__score"), F.monotonically_increasing_id().alias("__row"))
 
 
 def scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -129,15 +142,12 @@ def scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
 
     Null and empty texts are scored like any other, from statistics that are 0.  Of several labels for a document
     the higher counts; rows that share a doc_id are scored one by one; an empty table gives no rows.
-    The statistics (a few numbers a row) are written once, as fitting and scoring both read them.
     """
-    stats = cut_lineage(with_statistics(docs.select("doc_id", "text")).drop("text"))
-    model = learn(stats, labels)
-    out = stats.select("doc_id", held_out().alias("held_out"), model.score().alias("score"))
+    out = with_score(docs.select("doc_id", "text"), learn(docs, labels)).select("doc_id", held_out().alias("held_out"), F.col("__score").alias("score"))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def drop_rejected(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose score reaches the threshold, with all columns unchanged."""
-    model = learn(with_statistics(docs.select("doc_id", "text")).drop("text"), labels)
-    return with_statistics(docs).where(model.score() >= threshold).select(*docs.columns)
+    scored = with_score(docs, learn(docs, labels))
+    return scored.where((F.col("__score") >= threshold) & (F.col("__row") >= 0)).select(*docs.columns)
