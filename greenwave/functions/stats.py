@@ -56,12 +56,15 @@ def nth_largest(x, n: int) -> Column:
     return F.try_element_at(F.sort_array(F.collect_list(col(x)), asc=False), F.lit(n))
 
 
-def weighted_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float, name: str) -> DataFrame:
-    """Exact percentile (linear interpolation) of a group of any size.
+def weighted_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float, name: str, accuracy: int | None = None) -> DataFrame:
+    """Percentile of a group, exact (linear interpolation) unless ``accuracy`` is given.
 
-    Equal values are counted before the shuffle, so a hot group costs its number of distinct
-    values, not its number of rows.
+    Equal values are counted before the shuffle, so a hot group costs its number of distinct values, not its
+    number of rows.  Where values hardly ever repeat and a group has very many, give ``accuracy``: the result is then a value
+    of the group whose rank is off by at most a share of 1 / accuracy, from sketches of bounded size made in each task.
     """
+    if accuracy is not None:
+        return df.groupBy(*keys).agg(F.percentile_approx(value, p, accuracy).cast("double").alias(name)).where(F.col(name).isNotNull())
     counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     return counted.groupBy(*keys).agg(F.percentile(value, p, F.col("_n")).alias(name))
 

@@ -38,9 +38,9 @@ def travel_time_metrics(times: DataFrame, group: Sequence[str] = ("Corridor",))
     return out.select(*group, "Hour", tti.alias("tti"), pti.alias("pti"), (pti - tti).alias("bi"), "speed_mph")
 
 
-def relative_speed_index(times: DataFrame, limits: DataFrame, group: Sequence[str] = ("Corridor",)) -> DataFrame:
-    """90th percentile speed over the speed limit."""
-    p90 = weighted_percentile(times, group, "speed", 0.9, "speed")
+def relative_speed_index(times: DataFrame, limits: DataFrame, group: Sequence[str] = ("Corridor",), accuracy: int | None = None) -> DataFrame:
+    """90th percentile speed over the speed limit; ``accuracy`` as in ``weighted_percentile``."""
+    p90 = weighted_percentile(times, group, "speed", 0.9, "speed", accuracy)
     return p90.join(limits.select(*[c for c in group if c in limits.columns], "Speed_Limit"),
                     [c for c in group if c in limits.columns]).withColumn("rsi", ratio("speed", "Speed_Limit"))
 

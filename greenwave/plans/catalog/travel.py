@@ -61,6 +61,26 @@ register("t5_monthly_safety_cor", lambda t: series(t, "cor"), rs.delta(
     f"SELECT b.Corridor, Month, overall_pct AS bpsi, Zone_Group FROM ({bpsi_sql('Corridor, Month')}) b LEFT JOIN (SELECT DISTINCT Zone_Group, Corridor FROM corridors) c ON b.Corridor = c.Corridor",
     "Zone_Group, Corridor", "Month", "bpsi"), "bpsi delta", extra=TT)
 
+
+
+def speed_series(t, which):
+    rows = stt(t).withColumn("Month", tp.month_start("Hour"))
+    one = lambda g: tv.relative_speed_index(rows, t.speed_limits, [*g, "Month"]).drop("speed", "Speed_Limit")
+    return tv.monthly_index_series(one(["Corridor"]), one(["Corridor", "Subcorridor"]), t.corridors, "rsi")[which]
+
+
+def rsi_sql(keys):
+    return f"""SELECT * EXCLUDE (speed, Speed_Limit), speed / nullif(Speed_Limit, 0) AS rsi FROM (SELECT {keys}, quantile_cont(speed, 0.9) AS speed FROM
+    (SELECT *, CAST(date_trunc('month', Hour) AS DATE) AS Month FROM stt) GROUP BY ALL) JOIN speed_limits USING (Corridor)"""
+
+
+register("t5_monthly_speed_sub", lambda t: speed_series(t, "sub"), rs.delta(
+    f"SELECT Corridor AS Zone_Group, Subcorridor AS Corridor, Month, rsi FROM ({rsi_sql('Corridor, Subcorridor, Month')}) UNION ALL SELECT Corridor, Corridor, Month, rsi FROM ({rsi_sql('Corridor, Month')})",
+    "Zone_Group, Corridor", "Month", "rsi"), "rsi delta", extra=TT)
+register("t5_monthly_speed_cor", lambda t: speed_series(t, "cor"), rs.delta(
+    f"SELECT b.Corridor, Month, rsi, Zone_Group FROM ({rsi_sql('Corridor, Month')}) b LEFT JOIN (SELECT DISTINCT Zone_Group, Corridor FROM corridors) c ON b.Corridor = c.Corridor",
+    "Zone_Group, Corridor", "Month", "rsi"), "rsi delta", extra=TT)
+
 # ---- travel index weighted by hourly volume ---------------------------------
 _mo = rs.monthly_hourly_volume(VPH["vph"], "vph")
 _s, _w = rs.ones(_mo, None)

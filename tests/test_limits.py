@@ -38,6 +38,15 @@ def test_gamma_methods_agree_where_they_meet():
     assert np.allclose(stats._gamma_large(a, x), exact, atol=1e-8)
 
 
+def test_approximate_percentile_is_within_its_rank(frame):
+    rng = random.Random(2)
+    rows = [("k", rng.random()) for _ in range(5000)] + [("none", None)]
+    df = frame(rows, "k string, v double")
+    got = {r.k: r.p for r in stats.weighted_percentile(df, ["k"], "v", 0.9, "p", accuracy=1000).collect()}
+    rank = sum(v <= got["k"] for _, v in rows[:-1]) / 5000
+    assert set(got) == {"k"} and abs(rank - 0.9) <= 1 / 1000 + 1 / 5000
+
+
 def meters(p, q):
     a, b, c, d = map(math.radians, (*p, *q))
     return 2 * tk.EARTH_METERS * math.asin(math.sqrt(min(1.0, math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2)))
