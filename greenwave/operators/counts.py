@@ -10,8 +10,10 @@ from greenwave.functions import timeparts as tp
 from greenwave.functions.grid import densify, day_step, minute_step
 from greenwave.functions.ordered import streak_length
 from greenwave.functions.stats import ratio, total, weighted_percentile, with_delta
+from greenwave.session import cut_lineage
 
 VEHICLE_CODE, PED_CODE = 82, 90  # controller event codes: detector on, pedestrian input on
+POLL_CODE, ANSWER_CODE = 502, 503  # and of the poll log: share of failed polls, response time
 
 
 # ---- raw counts -------------------------------------------------------------
@@ -52,8 +54,12 @@ def comm_uptime(events: DataFrame, period: Column | None = None) -> DataFrame:
     out = e.groupBy("SignalID", tp.day("Timestamp").alias("Date")).agg(
         ratio(F.count_if(poll & (F.col("EventParam") < 100)), F.count_if(poll & (F.col("EventParam") > -1))).alias("uptime"),
         F.avg(F.when(answer, F.col("EventParam"))).alias("response_ms"))
-    return out.select("SignalID", F.lit(0).alias("CallPhase"), "Date", tp.ntz("Date").alias("Date_Hour"),
-                      tp.dow("Date").alias("DOW"), tp.week_index("Date").alias("Week"), "uptime", "response_ms")
+    return _with_calendar(out)
+
+
+def _with_calendar(daily: DataFrame) -> DataFrame:
+    return daily.select("SignalID", F.lit(0).alias("CallPhase"), "Date", tp.ntz("Date").alias("Date_Hour"),
+                        tp.dow("Date").alias("DOW"), tp.week_index("Date").alias("Week"), "uptime", "response_ms")
 
 
 def comm_uptime_by_period(wide_events: DataFrame, unit: str) -> DataFrame:
@@ -280,15 +286,49 @@ def throughput(counts_15min: DataFrame) -> DataFrame:
                       tp.dow("Date").alias("DOW"), (F.col("vph") * 4).alias("vph"))
 
 
-def daily_count_products(events: DataFrame, config: DataFrame, ped_config: DataFrame) -> dict[str, DataFrame]:
-    """The nightly set of count tables from one event log, as lazy frames keyed by table name."""
-    hour = counts_by_phase(events, config, VEHICLE_CODE, "1 hour")
-    quarter = counts_by_phase(events, config, VEHICLE_CODE, "15 min")
-    ped_hour = counts_by_phase(events, ped_config, PED_CODE, "1 hour").where("CallPhase is not null")
-    ped_quarter = counts_by_phase(events, ped_config, PED_CODE, "15 min").where("CallPhase is not null")
+def quarter_hour_tally(events: DataFrame) -> DataFrame:
+    """Distinct events per signal, code, parameter and quarter hour, for the codes of the nightly count tables.
+
+    One scan and one shuffle of the log; every table of ``daily_count_products`` is a sum over these rows.
+    """
+    rows = events.where(F.col("EventCode").isin(VEHICLE_CODE, PED_CODE, POLL_CODE, ANSWER_CODE)).select(
+        "SignalID", "Timestamp", "EventCode", "EventParam").distinct()
+    return rows.groupBy("SignalID", tp.floor_period("Timestamp", "15 min").alias("Timeperiod"), "EventCode", "EventParam").agg(
+        F.count(F.lit(1)).alias("vol"))
+
+
+def tallied_counts(tally: DataFrame, config: DataFrame, code: int, unit: str) -> DataFrame:
+    """``counts_by_phase`` from the quarter-hour tally."""
+    counted = tally.where(F.col("EventCode") == code).groupBy(
+        "SignalID", tp.floor_period("Timeperiod", unit).alias("Timeperiod"), F.col("EventParam").alias("Detector")).agg(F.sum("vol").alias("vol"))
+    return counted.join(config.select("SignalID", "Detector", "CallPhase"), ["SignalID", "Detector"], "left").select(
+        "SignalID", "Timeperiod", "Detector", "CallPhase", "vol")
+
+
+def tallied_comm_uptime(tally: DataFrame) -> DataFrame:
+    """``comm_uptime`` from the quarter-hour tally."""
+    poll, answer = F.col("EventCode") == POLL_CODE, F.col("EventCode") == ANSWER_CODE
+    count = lambda cond: F.sum(F.when(cond, F.col("vol")).otherwise(F.lit(0)))
+    out = tally.where(poll | answer).groupBy("SignalID", tp.day("Timeperiod").alias("Date")).agg(
+        ratio(count(poll & (F.col("EventParam") < 100)), count(poll & (F.col("EventParam") > -1))).alias("uptime"),
+        ratio(F.sum(F.when(answer, F.col("EventParam") * F.col("vol"))), count(answer & F.col("EventParam").isNotNull())).alias("response_ms"))
+    return _with_calendar(out)
+
+
+def daily_count_products(events: DataFrame, config: DataFrame, ped_config: DataFrame, keep=cut_lineage) -> dict[str, DataFrame]:
+    """The nightly set of count tables from one event log, keyed by table name.
+
+    The log is read once: ``keep`` stores its quarter-hour tally, from which all tables derive.  Pass
+    ``lambda df: df`` to stay lazy where only one of the tables is wanted.
+    """
+    tally = keep(quarter_hour_tally(events))
+    hour = tallied_counts(tally, config, VEHICLE_CODE, "1 hour")
+    quarter = tallied_counts(tally, config, VEHICLE_CODE, "15 min")
+    ped_hour = tallied_counts(tally, ped_config, PED_CODE, "1 hour").where("CallPhase is not null")
+    ped_quarter = tallied_counts(tally, ped_config, PED_CODE, "15 min").where("CallPhase is not null")
     filtered = filtered_counts(hour, config, HOURLY)
     return {
-        "comm_uptime": comm_uptime(events),
+        "comm_uptime": tallied_comm_uptime(tally),
         "counts_1hr": hour, "filtered_counts_1hr": filtered,
         "bad_detectors": bad_detectors(filtered), "detector_uptime_pd": daily_detector_uptime(filtered),
         "counts_15min": quarter, "filtered_counts_15min": filtered_counts(quarter, config, QUARTER_HOURLY),

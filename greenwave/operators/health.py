@@ -11,7 +11,6 @@ from greenwave.functions.ranges import band_score
 # The lower or upper edge of each score's band, scores 1 to 10 in order.
 SCORES = (1, 2, 3, 4, 5, 6, 7, 8, 9, 10)
 BANDS = {
-    "rsu": (0.0, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0),
     "cctv": (0.0, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0),
     "comm": (0.91, 0.92, 0.93, 0.94, 0.95, 0.96, 0.97, 0.98, 0.99, 1.00),
     "detection": (0.20, 0.30, 0.40, 0.50, 0.60, 0.70, 0.80, 0.90, 0.95, 1.00),
@@ -35,7 +34,6 @@ WEIGHTS = {
     "Ped_Act_Uptime": (15, 47, 47, 40, 40),
     "Comm_Uptime": (40, 23, 23, 25, 25),
     "CCTV_Uptime": (10, 6, 6, 5, 5),
-    "RSU_Uptime": (0, 0, 0, 0, 0),
     "Flash_Events": (10, 12, 12, 15, 15),
     "Platoon_Ratio": (10, 30, 30, 15, 0),
     "Ped_Delay": (50, 20, 10, 5, 10),

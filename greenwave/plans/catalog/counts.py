@@ -31,11 +31,12 @@ g AS (SELECT DISTINCT SignalID, Detector, unnest(generate_series(lo, hi, INTERVA
 SELECT g.SignalID, g.Timeperiod, g.Detector, coalesce(vol, 0) AS vol FROM g LEFT JOIN raw USING (SignalID, Detector, Timeperiod)""")
 
 # ---- communications ---------------------------------------------------------
-register("m3_comm_uptime", lambda t: ct.comm_uptime(t.controller_events), f"""
+COMM = f"""
 SELECT SignalID, 0 AS CallPhase, date AS Date, CAST(date AS TIMESTAMP) AS Date_Hour, {dow('date')} AS DOW, {week('date')} AS Week,
   CAST(count(*) FILTER (EventCode = 502 AND EventParam < 100) AS DOUBLE) / nullif(count(*) FILTER (EventCode = 502 AND EventParam > -1), 0) AS uptime,
   avg(EventParam) FILTER (EventCode = 503) AS response_ms
-FROM (SELECT DISTINCT * FROM controller_events WHERE EventCode IN (502, 503)) GROUP BY SignalID, date""", "uptime response_ms")
+FROM (SELECT DISTINCT * FROM controller_events WHERE EventCode IN (502, 503)) GROUP BY SignalID, date"""
+register("m3_comm_uptime", lambda t: ct.comm_uptime(t.controller_events), COMM, "uptime response_ms")
 register("m3_comm_uptime_1hr", lambda t: ct.comm_uptime_by_period(t.controller_events, "1 hour"), f"""
 SELECT SignalID, 0 AS CallPhase, {HOUR} AS Timeperiod,
   CASE WHEN count(*) FILTER (EventCode = 502 AND EventParam < 100) > 0 THEN
@@ -92,6 +93,12 @@ FILTERED_SQL = {
     "filtered_events": filtered_sql("event_counts", 60, 1200, 3000, 200, 500, 5, 5),
     "event_counts": f"SELECT r.SignalID, Timeperiod, r.Detector, c.CallPhase, vol FROM ({RAW.format(trunc=HOUR, code=82, where='')}) r "
                     "LEFT JOIN det_config c ON r.SignalID = c.SignalID AND r.Detector = c.Detector",
+    "filtered_events_15min": filtered_sql("event_counts_15min", 15, 300, 750, 50, 125, 20, 20),
+    "event_counts_15min": f"SELECT r.SignalID, Timeperiod, r.Detector, c.CallPhase, vol FROM ({RAW.format(trunc=QUARTER, code=82, where='')}) r "
+                          "LEFT JOIN det_config c ON r.SignalID = c.SignalID AND r.Detector = c.Detector",
+    **{f"event_ped_{unit}": f"SELECT r.SignalID, Timeperiod, r.Detector, c.CallPhase, vol FROM ({RAW.format(trunc=trunc, code=90, where='')}) r "
+                            "JOIN det_config c ON r.SignalID = c.SignalID AND r.Detector = c.Detector WHERE c.CallPhase IS NOT NULL"
+       for unit, trunc in (("1hr", HOUR), ("15min", QUARTER))},
 }
 
 
@@ -156,14 +163,6 @@ g AS (SELECT SignalID, Detector, CAST(unnest(generate_series(CAST((SELECT min(Da
 SELECT g.SignalID, g.Detector, g.Date, Good_Day FROM g LEFT JOIN d USING (SignalID, Detector, Date)""", extra=FILTERED_SQL)
 register("m9_bad_detectors", lambda t: ct.bad_detectors(filtered(t)),
          "SELECT DISTINCT SignalID, Detector, Date, Good_Day FROM filtered_1hr WHERE Good_Day = 0", extra=FILTERED_SQL)
-register("m2_bad_detectors_from_events",
-         lambda t: ct.daily_count_products(t.controller_events, t.det_config, t.det_config)["bad_detectors"],
-         "SELECT DISTINCT SignalID, Detector, Date, Good_Day FROM filtered_events WHERE Good_Day = 0", extra=FILTERED_SQL)
-register("m2_ped_actuations_per_hour",
-         lambda t: ct.daily_count_products(t.controller_events, t.det_config, t.det_config)["ped_actuations_ph"], f"""
-SELECT r.SignalID, Timeperiod AS Hour, CAST(sum(vol) AS DOUBLE) AS paph, {week('Timeperiod')} AS Week, {dow('Timeperiod')} AS DOW
-FROM ({RAW.format(trunc=HOUR, code=90, where='')}) r JOIN det_config c ON r.SignalID = c.SignalID AND r.Detector = c.Detector GROUP BY r.SignalID, Timeperiod""")
-
 UPTIME_SQL = {**ADJ_SQL, "det_uptime": """SELECT SignalID, CallPhase, Date, Timeperiod AS Date_Hour,
     CASE WHEN CallPhase IN (2, 6) THEN 'Setback' ELSE 'Presence' END AS setback, CAST(coalesce(sum(Good_Day), 0) AS DOUBLE) / count(*) AS uptime, CAST(count(*) AS DOUBLE) AS "all"
     FROM filtered_1hr ANTI JOIN (SELECT SignalID, Timeperiod FROM filtered_1hr GROUP BY ALL HAVING coalesce(sum(vol), 0) = 0) USING (SignalID, Timeperiod)
@@ -208,3 +207,25 @@ register("m13_ped_actuations_per_15min", lambda t: ct.period_volume(t.counts_15m
 THROUGHPUT = f"""SELECT SignalID, 0 AS CallPhase, Date, {week('Date')} AS Week, {dow('Date')} AS DOW, quantile_cont(v, 0.95) * 4 AS vph FROM
 (SELECT SignalID, CAST(Timeperiod AS DATE) AS Date, Timeperiod, CAST(sum(vol) AS DOUBLE) AS v FROM counts_15min GROUP BY ALL) GROUP BY SignalID, Date"""
 register("m14_throughput", lambda t: ct.throughput(t.counts_15min), THROUGHPUT, "vph")
+
+
+# ---- the nightly set from the event log -------------------------------------
+def nightly(name):
+    return lambda t: ct.daily_count_products(t.controller_events, t.det_config, t.det_config, keep=lambda df: df)[name]
+
+
+EVENT_UPTIME = {**FILTERED_SQL, "event_uptime": UPTIME_SQL["det_uptime"].replace("filtered_1hr", "filtered_events")}
+for name, table, sql, floats in (
+        ("comm_uptime", "comm_uptime", COMM, "uptime response_ms"),
+        ("counts_1hr", "counts_1hr", "SELECT * FROM event_counts", ""),
+        ("counts_15min", "counts_15min", "SELECT * FROM event_counts_15min", ""),
+        ("filtered_counts_1hr", "filtered_counts_1hr", "SELECT * FROM filtered_events", ""),
+        ("filtered_counts_15min", "filtered_counts_15min", "SELECT * FROM filtered_events_15min", ""),
+        ("bad_detectors_from_events", "bad_detectors", "SELECT DISTINCT SignalID, Detector, Date, Good_Day FROM filtered_events WHERE Good_Day = 0", ""),
+        ("detector_uptime", "detector_uptime_pd", "SELECT * FROM event_uptime", "uptime all"),
+        ("counts_ped_1hr", "counts_ped_1hr", "SELECT * FROM event_ped_1hr", ""),
+        ("counts_ped_15min", "counts_ped_15min", "SELECT * FROM event_ped_15min", ""),
+        ("ped_actuations_per_day", "ped_actuations_pd", VPD.format(n="papd", src="event_ped_1hr", where="", **_wd), ""),
+        ("ped_actuations_per_hour", "ped_actuations_ph", vph_sql("paph", "event_ped_1hr", "hour", "Hour", ""), ""),
+        ("ped_actuations_per_15min", "ped_actuations_15min", vph_sql("pa15", "event_ped_15min", "15", "Timeperiod", ""), "")):
+    register(f"m2_{name}", nightly(table), sql, floats, extra=EVENT_UPTIME)

@@ -302,10 +302,34 @@ def test_versions_and_dates_on_disk(spark, frame, tmp_path):
     only = scan.read_range(spark, table, "2024-01-02", "2024-01-02", ["1"])
     plan = only._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan and [r.vol for r in only.collect()] == [9]
+    more = scan.read_range(spark, table, "2024-01-01", "2024-01-02", callback=lambda df: df.groupBy("Date").agg(F.sum("vol").alias("vol")))
+    assert sorted((r.Date.day, r.vol) for r in more.collect()) == [(1, 5), (2, 9)]
+    hidden = str(tmp_path / "hidden")
+    sinks.write_by_date(frame([day(1, 5)], COUNTS).withColumn("__index", F.lit(0)), hidden)
+    assert "__index" not in scan.read_range(spark, hidden, "2024-01-01", "2024-01-01").columns
+    sinks.export_csv(frame([day(1, 5)], COUNTS), str(tmp_path / "csv"))
+    assert [r.vol for r in spark.read.csv(str(tmp_path / "csv"), header=True).collect()] == ["5"]
     inv = {r.table: r.files for r in scan.inventory(spark, str(tmp_path)).where("table = 'counts'").groupBy("table").agg(F.sum("files").alias("files")).collect()}
     assert inv["counts"] >= 2
 
 
+def test_nightly_tables_from_one_tally_equal_direct_ones(frame):
+    at = lambda m, s=0: datetime(2024, 1, 2, 7, m, s)
+    rows = [(1, at(m, s), c, p, date(2024, 1, 2)) for m, s, c, p in
+            [(1, 0, 82, 3), (1, 0, 82, 3), (1, 5, 82, 3), (20, 0, 82, 3), (20, 0, 82, 9), (3, 0, 90, 3), (4, 0, 502, 10), (5, 0, 502, 100), (5, 0, 502, 100),
+             (6, 0, 502, -1), (7, 0, 503, 40), (8, 0, 503, 10), (9, 0, 81, 3)]]
+    events = frame(rows, "SignalID int, Timestamp timestamp_ntz, EventCode int, EventParam int, date date")
+    config = frame([(1, 3, 2, "Mainline")], "SignalID int, Detector int, CallPhase int, ApproachDesc string")
+    stored = []
+    made = ct.daily_count_products(events, config, config, keep=lambda df: stored.append(df) or df)
+    assert len(made) == 12 and len(stored) == 1
+    same = lambda a, b: sorted(map(repr, a.collect())) == sorted(map(repr, b.select(*a.columns).collect()))
+    assert same(made["comm_uptime"], ct.comm_uptime(events))
+    for name, unit in (("counts_1hr", "1 hour"), ("counts_15min", "15 min")):
+        assert same(made[name], ct.counts_by_phase(events, config, 82, unit))
+    assert [r.vol for r in made["counts_ped_1hr"].collect()] == [1]
+
+
 def test_tasks_csv(spark, tmp_path):
     a, b = tmp_path / "a.csv", tmp_path / "b.csv"
     a.write_text("TaskID,Date_Reported\n1,01/02/2024 08:00:00 AM\n2,01/01/2020 08:00:00 AM\n")
