@@ -76,6 +76,11 @@ def checksums(tokens: DataFrame) -> DataFrame:
     return tokens.select("doc_id", "ids", "file").mapInArrow(run, "doc_id long, n_tokens long, file string, ids_crc32 long")
 
 
+def _file_order() -> list[Column]:
+    """Files in the order of the tasks that wrote them; names alone sort part-100000 before part-99999."""
+    return [F.regexp_extract("file", r"^part-(\d+)", 1).cast("long"), F.col("file")]
+
+
 def token_index(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of what the files hold.
 
@@ -83,7 +88,7 @@ def token_index(spark: SparkSession, folder: str) -> DataFrame:
     n_tokens column alone; only they (one row a file) are added up in one place, the rest
     within each file.
     """
-    all_files = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)
+    all_files = W.orderBy(*_file_order()).rowsBetween(W.unboundedPreceding, -1)
     before = (read_tokens(spark, folder).groupBy("file").agg(F.sum("n_tokens").alias("n"))
               .select("file", F.coalesce(F.sum("n").over(all_files), F.lit(0)).alias("before")))
     in_file = (W.partitionBy("file").orderBy(F.col("doc_id").asc_nulls_first(), "n_tokens", "ids_crc32")
