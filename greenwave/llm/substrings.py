@@ -20,8 +20,8 @@ from greenwave.session import cut_lineage
 WINDOW, SHORT = 20, 5
 #: A super-k-mer has at most so many windows; longer ones are cut.
 LONGEST = 4096
-#: A bucket of more super-k-mers than this is not sorted in one place.
-HOT = 10_000
+#: A bucket of more super-k-mers than this, or of more than ``HOT_WINDOWS`` times as many windows, is not sorted in one place.
+HOT, HOT_WINDOWS = 10_000, 16
 
 _INSIDE = np.ones(256, bool)
 _INSIDE[[0x20, *range(0x09, 0x0E)]] = False
@@ -175,13 +175,14 @@ def repeats(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     1. Only the minimisers are counted first (numbers, no text).  A minimiser that stands in one
        super-k-mer, and once in that, has no equal windows.
     2. The others travel as packed strings to the bucket of their minimiser and are sorted there.
-    3. Buckets of more than ``hot`` super-k-mers (a common line in very many documents) take another way: their windows are
-       grouped by their whole words, the earliest place is found by a sum that each task begins on its own, and joined
-       back; Spark splits such joins.
+    3. Buckets of more than ``hot`` super-k-mers (a common line in very many documents) or ``HOT_WINDOWS`` times as many
+       windows (one word over and over in long texts) take another way: their windows are grouped by their whole words, the
+       earliest place is found by a sum that each task begins on its own, and joined back; Spark splits such joins.
     """
     refs = references(docs, window)
-    counts = refs.groupBy("minimiser").agg(F.count(F.lit(1)).alias("n"))
-    live = refs.join(counts, "minimiser").where("n > 1 OR place < 0").select("doc", "tie", F.abs("place").alias("place"), (F.col("n") > hot).alias("hot"))
+    counts = refs.groupBy("minimiser").agg(F.count(F.lit(1)).alias("n"), F.sum(F.abs("place") % (2 * LONGEST)).alias("windows"))
+    is_hot = (F.col("n") > hot) | (F.col("windows") > hot * HOT_WINDOWS)
+    live = refs.join(counts, "minimiser").where("n > 1 OR place < 0").select("doc", "tie", F.abs("place").alias("place"), is_hot.alias("hot"))
     live = cut_lineage(live)
 
     def named(which) -> DataFrame:
