@@ -42,6 +42,12 @@ def test_token_files_hold_every_text_in_order(spark, odd, none):
     assert token_files.token_index(spark, empty).count() == 0
 
 
+def test_files_stand_in_the_order_of_their_tasks(frame):
+    names = [f"part-{n}-x.zstd.orc" for n in ("00000", "00007", "99999", "100000", "250000")]
+    got = [r.file for r in frame([(n,) for n in reversed(names)], "file string").orderBy(*token_files._file_order()).collect()]
+    assert got == names
+
+
 def test_packing_places_every_token_once(odd, none):
     rows = packing.pack(odd, BYTES).collect()
     sequences = defaultdict(list)
