@@ -21,7 +21,8 @@ WINDOW, SHORT = 20, 5
 #: A super-k-mer has at most so many windows; longer ones are cut.
 LONGEST = 4096
 #: A bucket of more super-k-mers than this, or of more than ``HOT_WINDOWS`` times as many windows, is not sorted in one place.
-HOT, HOT_WINDOWS = 10_000, 16
+#: A window held for sorting takes about 260 bytes, so a bucket never takes more than 170 MB; equal packed strings take one entry.
+HOT, HOT_WINDOWS = 10_000, 64
 
 _INSIDE = np.ones(256, bool)
 _INSIDE[[0x20, *range(0x09, 0x0E)]] = False
