@@ -50,7 +50,7 @@ class _Numbers(dict):
 class Encoder:
     """At most about ``most`` chunks are kept; when there are more, the less used half goes."""
 
-    def __init__(self, path: str, most: int = 400_000) -> None:
+    def __init__(self, path: str, most: int = 600_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
@@ -71,7 +71,9 @@ class Encoder:
         """Encode the new chunks, many in one text with a line break between them, which is a piece and an id of its own there."""
         new, self.numbers.new = self.numbers.new, []
         known = len(self.numbers) - len(new)
-        usual, texts, ended, odd, words = [], [], [], [], []
+        usual, texts, ended, odd = [], [], [], []
+        words, sizes, flat = [], [], []  # chunks of one piece, how many ids each has, and all of those ids
+        tokenize, space = self.model.tokenize, BYTE_LETTERS[0x20]
         at = 0
         while at < len(new):
             n, c = known + at, new[at]
@@ -85,7 +87,11 @@ class Encoder:
             if c == "\n" or not bare:
                 odd.append((n, "\n" if c == "\n" else "" if c else " "))
             elif bare.isalpha() and (bare.isascii() or max(bare) < "\u0250"):  # one piece
-                words.append((n, [t.id for t in self.model.tokenize(("" if c[:1] == _FIRST else BYTE_LETTERS[0x20]) + as_letters(bare))]))
+                letters = bare if bare.isascii() else as_letters(bare)
+                ids = [t.id for t in tokenize(letters if c[:1] == _FIRST else space + letters)]
+                words.append(n)
+                sizes.append(len(ids))
+                flat += ids
             elif not (bare[0].isspace() or bare[-1].isspace() or "\n" in bare):
                 usual.append(n)
                 texts.append(bare if c[:1] == _FIRST else " " + c)
@@ -95,11 +101,9 @@ class Encoder:
         for n, text in odd:
             self._keep(np.array([n]), np.array(self._ids(text), np.uint32), None)
         if words:
-            sizes = np.fromiter((len(x) for _, x in words), np.int64, len(words))
-            which = np.fromiter((n for n, _ in words), np.int64, len(words))
-            first = self.used
-            self._keep(which[:0], np.fromiter((i for _, x in words for i in x), np.uint32, int(sizes.sum())), None)
-            self.start[which], self.length[which] = first + np.cumsum(sizes) - sizes, sizes
+            which, lengths, first = np.array(words), np.array(sizes), self.used
+            self._keep(which[:0], np.array(flat, np.uint32), None)
+            self.start[which], self.length[which] = first + np.cumsum(lengths) - lengths, lengths
         many = 2000
         groups = ["\n".join(texts[k:k + many]) for k in range(0, len(texts), many)]
         for k, got in enumerate(self.tokenizer.encode_batch_fast(groups, add_special_tokens=False)):
