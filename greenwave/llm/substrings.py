@@ -171,7 +171,7 @@ def sort_buckets(rows: DataFrame, window: int) -> DataFrame:
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
-    """__doc, __tie, __stretches (first word and words of each stretch to remove), for the documents of ``keyed`` that have any.
+    """__doc, __tie, __stretches (first word and words of each stretch to remove), for the documents of ``keyed`` (one row of each) that have any.
 
     1. Only the minimisers are counted first (numbers, no text).  A minimiser that stands in one
        super-k-mer, and once in that, has no equal windows.
@@ -201,11 +201,13 @@ def repeats(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     return found.groupBy(F.col("doc").alias("__doc"), F.col("tie").alias("__tie")).agg(F.collect_set(stretch).alias("__stretches"))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with the columns __doc and __tie, which order documents: by doc_id, null first, then by text where an id comes twice."""
-    twice = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL")
-    tie = F.lit(0).cast("long") if twice.isEmpty() else F.xxhash64("text")
-    return docs.withColumn("__doc", F.coalesce("doc_id", F.lit(-(1 << 63)))).withColumn("__tie", tie)
+def keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with the columns __doc and __tie, which order documents: by doc_id, null first, then by text where an id comes twice;
+    and the same with one row of each document, as equal rows must not count as repeats of each other."""
+    single = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty()
+    tie = F.lit(0).cast("long") if single else F.xxhash64("text")
+    own = docs.withColumn("__doc", F.coalesce("doc_id", F.lit(-(1 << 63)))).withColumn("__tie", tie)
+    return own, own if single else own.select("__doc", "__tie", "text").dropDuplicates(["__doc", "__tie"])
 
 
 def _flags(n: int, stretches: list[dict] | None) -> np.ndarray:
@@ -225,8 +227,8 @@ def strip(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     different texts with the same doc_id the one with the smaller hash comes first; null ids
     come before all others.  An empty table gives no rows.
     """
-    own = keyed(docs)
-    joined = own.join(repeats(own, window, hot), ["__doc", "__tie"], "left").select(*docs.columns, "__stretches")
+    own, once = keyed(docs)
+    joined = own.join(repeats(once, window, hot), ["__doc", "__tie"], "left").select(*docs.columns, "__stretches")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -110,6 +110,18 @@ def test_passages_of_odd_rows(odd, none):
     assert {r.text for r in out.where("doc_id = 6").collect()} == {"tail", "other text"}
 
 
+@pytest.mark.parametrize("hot", [10_000, 0])
+def test_repeated_rows_keep_their_first_copy(frame, hot):
+    text = lambda name: " ".join(f"{name}{k}" for k in range(30))
+    again = f"{text('d')} {text('d')}"
+    docs = [(1, text("a")), (1, text("a")), (1, text("a")), (2, text("b")), (2, again), (2, again), (3, text("a")), (None, text("c")), (None, text("c")), (4, text("c"))]
+    schema = "doc_id long, text string"
+    got = Counter((r.doc_id, r.n_words, r.n_removed) for r in substrings.removal(frame(docs, schema), 20, hot).collect())
+    assert got == Counter({(1, 30, 0): 3, (2, 30, 0): 1, (2, 60, 30): 2, (3, 30, 30): 1, (None, 30, 0): 2, (4, 30, 30): 1})
+    assert sorted(r.text for r in substrings.without_repeats(frame(docs, schema), 20, hot).where("doc_id IS NULL OR doc_id < 3").collect()) == sorted(
+        [text("a")] * 3 + [text("b")] + [text("d")] * 2 + [text("c")] * 2)
+
+
 def contaminated(docs, items, size=10):
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     found = {}
