@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from greenwave.llm.decontaminate import LOWER, UPPER
@@ -61,17 +64,25 @@ RULES = [
 COPYRIGHT = "Copyright"
 #: Every known sentence has one of these, so other texts need no further look; a sentence that has one but is not known counts as unknown.
 HINT = "licen|copyright|permission|warrant|redistribut|free software|public domain|rights reserved|apache"
-_JOINED = 4  # a sentence may be wrapped over so many lines
+_JOINED = 4  # in the SQL, a sentence may be wrapped over so many lines
 
 
 def normalised(sentence: Column) -> Column:
     return F.btrim(F.regexp_replace(F.translate(sentence, UPPER, LOWER), "[^a-z0-9.+]+", " "), F.lit(" ."))
 
 
+def _matcher(sentences: Iterable[str]) -> tuple[list[str], str, int]:
+    """What the first part of a sentence can be, a pattern for all sentences with parts between line ends (the shortest
+    that ends with a part is found), and the most parts a sentence can have: one for each word."""
+    words = [s.split(" ") for s in sorted(sentences, key=len)]
+    begins = sorted({" ".join(w[:n]) for w in words for n in range(1, len(w) + 1)})
+    return begins, "^(?:" + "|".join("[ \\n]".join(map(re.escape, w)) for w in words) + r")(?![^\n])", max(map(len, words))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, sentences, licences, n_known, n_unknown, n_unused of every row.
 
-    A text is cut at line ends and after . ! ? ; or : with white space behind; up to four consecutive parts may make
+    A text is cut at line ends and after . ! ? ; or : with white space behind; any number of consecutive parts may make
     one sentence, the shortest known one counts.  ``sentences`` are the identifiers in their order, ``licences`` what the ordered
     rules make of them (each once, sorted).  Nothing leaves the row, so copies and hot sources do not matter.  Null
     and empty texts have neither; rows that share a doc_id are scanned one by one; an empty table gives no rows.
@@ -82,9 +93,12 @@ def scan(docs: DataFrame) -> DataFrame:
     units = F.filter(F.transform(F.when(has_hint, parts).otherwise(F.array().cast("array<string>")), normalised), lambda u: u != "")
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
 
-    def named(_: Column, i: Column) -> Column:
-        runs = [F.try_element_at(known, F.array_join(F.slice("__units", i + 1, n), " ")) for n in range(1, _JOINED + 1)]
-        return F.coalesce(*runs, F.when(F.get("__units", i).rlike("^copyright (c )?[0-9]{4}"), F.lit(COPYRIGHT)), F.lit(""))
+    begins, pattern, most = _matcher(SENTENCES)
+
+    def named(unit: Column, i: Column) -> Column:
+        found = F.regexp_extract(F.array_join(F.slice("__units", i + 1, most), "\n"), pattern, 0)
+        sentence = F.when(unit.isin(begins), F.try_element_at(known, F.translate(found, "\n", " ")))
+        return F.coalesce(sentence, F.when(F.get("__units", i).rlike("^copyright (c )?[0-9]{4}"), F.lit(COPYRIGHT)), F.lit(""))
 
     # the first character of ``__left`` is a bar, and each identifier has one after it
     rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("|" + "|".join(ids) + "|").alias("ids")) for name, ids in RULES])

@@ -1,6 +1,7 @@
 """Licences, shards, quality scores and host rules."""
 
 import random
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -21,6 +22,36 @@ def test_licence_rules_match_in_order(frame, odd, none):
     assert licences.scan(odd).count() == odd.count() and licences.scan(none).count() == 0
 
 
+GPL = """This program is free software{0} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{1} either version {2} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+
+
+def scanned(frame, texts):
+    rows = licences.scan(frame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    return [(r.sentences, r.licences, r.n_known, r.n_unused) for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+def test_licence_headers_wrapped_at_any_width(frame):
+    narrow = lambda text, width, mark: "\n".join(mark + x for x in textwrap.wrap(" ".join(text.split()), width, break_long_words=False))
+    gpl3, gpl2 = GPL.format(":", ",", 3), GPL.format(";", ";", 2)
+    for number, text in ((3, gpl3), (2, gpl2)):
+        forms = [text, "\r\n".join(text.split("\n")), *(narrow(text, width, mark) for width in (70, 40, 24, 1) for mark in ("", " * ", "# "))]
+        assert set(scanned(frame, forms)) == {(f"Gpl{number}Later,GplCopy", f"GPL-{number}.0-or-later", 2, 0)}
+    # a sentence still has to end with a part, and the shortest one counts
+    assert scanned(frame, ["Licensed under the\nMIT License\nof theirs", "Licensed under the\nMIT License of theirs"]) == [("MitName", "MIT", 1, 0), ("", "", 0, 0)]
+
+
 def test_hilbert_curve_visits_neighbours(spark):
     bits, side = 2, 4
     cells = [(x, y, z) for x in range(side) for y in range(side) for z in range(side)]
