@@ -38,6 +38,15 @@ SENTENCES = {
     "this is free and unencumbered software released into the public domain": "Unlicense",
     "all rights reserved": "AllRights",
 }
+# The same for sentences whose standard text runs on, or has another wording, in the licence or its usual notice.
+STANDARD = {
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "MitGrant",
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": "AsIs",
+    "you may obtain a copy of the license at https www.apache.org licenses license 2.0": "Apache2Where",
+    "this work is licensed under a creative commons attribution 4.0 international license": "CcByName",
+    "this work is licensed under a creative commons attribution sharealike 4.0 international license": "CcBySaName",
+    "this work is licensed under a creative commons attribution noncommercial 4.0 international license": "CcByNcName",
+}
 # Rules in the order in which they are tried; what a rule has matched is used up.
 RULES = [
     ("BSD-3-Clause", ["BsdGrant", "BsdSource", "BsdBinary", "BsdEndorse"]),
@@ -71,12 +80,18 @@ def normalised(sentence: Column) -> Column:
     return F.btrim(F.regexp_replace(F.translate(sentence, UPPER, LOWER), "[^a-z0-9.+]+", " "), F.lit(" ."))
 
 
+def _bare(text: str) -> str:
+    """A sentence without the dots at the ends of its words: a text is cut behind these, and the parts lose them."""
+    return re.sub(r"\.(?= |$)", "", text)
+
+
 def _matcher(sentences: Iterable[str]) -> tuple[list[str], str, int]:
     """What the first part of a sentence can be, a pattern for all sentences with parts between line ends (the shortest
-    that ends with a part is found), and the most parts a sentence can have: one for each word."""
+    that ends with a part is found), and the most parts a sentence can have: one for each word.  The sentences have no dots
+    at the ends of words; a text may have them where no cut was made."""
     words = [s.split(" ") for s in sorted(sentences, key=len)]
     begins = sorted({" ".join(w[:n]) for w in words for n in range(1, len(w) + 1)})
-    return begins, "^(?:" + "|".join("[ \\n]".join(map(re.escape, w)) for w in words) + r")(?![^\n])", max(map(len, words))
+    return begins, "^(?:" + "|".join(r"(?:\.? |\n)".join(map(re.escape, w)) for w in words) + r")(?![^\n])", max(map(len, words))
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -91,13 +106,16 @@ def scan(docs: DataFrame) -> DataFrame:
     has_hint = F.translate(text, UPPER, LOWER).rlike(HINT)
     parts = F.split(F.regexp_replace(text, r"([.!?;:])\s+", "$1\n"), "\n")
     units = F.filter(F.transform(F.when(has_hint, parts).otherwise(F.array().cast("array<string>")), normalised), lambda u: u != "")
-    known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
+    sentences = {_bare(s): i for s, i in (SENTENCES | STANDARD).items()}
+    known = F.create_map(*[F.lit(x) for pair in sentences.items() for x in pair])
+    begins, pattern, most = _matcher(sentences)
 
-    begins, pattern, most = _matcher(SENTENCES)
+    def bare(part: Column) -> Column:
+        return F.replace(part, F.lit(". "), F.lit(" "))
 
     def named(unit: Column, i: Column) -> Column:
         found = F.regexp_extract(F.array_join(F.slice("__units", i + 1, most), "\n"), pattern, 0)
-        sentence = F.when(unit.isin(begins), F.try_element_at(known, F.translate(found, "\n", " ")))
+        sentence = F.when(bare(unit).isin(begins), F.try_element_at(known, bare(F.translate(found, "\n", " "))))
         return F.coalesce(sentence, F.when(F.get("__units", i).rlike("^copyright (c )?[0-9]{4}"), F.lit(COPYRIGHT)), F.lit(""))
 
     # the first character of ``__left`` is a bar, and each identifier has one after it

@@ -37,6 +37,70 @@ along with this program.  If not, see <https://www.gnu.org/licenses/>.
 """
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    https://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+BSD = """Copyright (c) 2020, Someone
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+ENDORSE = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+DISCLAIMER = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED.
+"""
+CC = "This work is licensed under a Creative Commons {0}4.0 International\nLicense. To view a copy of this license, visit the site."
+
+
 def scanned(frame, texts):
     rows = licences.scan(frame(list(enumerate(texts)), "doc_id long, text string")).collect()
     return [(r.sentences, r.licences, r.n_known, r.n_unused) for r in sorted(rows, key=lambda r: r.doc_id)]
@@ -52,6 +116,21 @@ def test_licence_headers_wrapped_at_any_width(frame):
     assert scanned(frame, ["Licensed under the\nMIT License\nof theirs", "Licensed under the\nMIT License of theirs"]) == [("MitName", "MIT", 1, 0), ("", "", 0, 0)]
 
 
+def test_whole_standard_notices(frame):
+    texts = [MIT, MPL, APACHE, APACHE.replace("https", "http"), BSD + DISCLAIMER, BSD + ENDORSE + DISCLAIMER, CC.format("Attribution "), CC.format("Attribution-ShareAlike "),
+             CC.format("Attribution-NonCommercial ")]
+    apache, bsd = "Apache2Name,Apache2Comply,Apache2Where,Apache2Disclaim", "Copyright,BsdGrant,BsdSource,BsdBinary"
+    want = [("Copyright,MitGrant,MitNotice,AsIs", "MIT", 4, 0), ("Mpl2Name", "MPL-2.0", 1, 0), (apache, "Apache-2.0", 4, 0), (apache, "Apache-2.0", 4, 0),
+            (bsd, "BSD-2-Clause", 4, 0), (bsd + ",BsdEndorse", "BSD-3-Clause", 5, 0), ("CcByName", "CC-BY-4.0", 1, 0), ("CcBySaName", "CC-BY-SA-4.0", 1, 0), ("CcByNcName", "CC-BY-NC-4.0", 1, 0)]
+    assert scanned(frame, texts) == want
+    # each paragraph on a line, and wrapped in a comment block
+    line = lambda text: "\n".join(" ".join(p.split()) for p in text.split("\n\n"))
+    block = lambda text: "\n".join(" * " + x for p in text.split("\n\n") for x in textwrap.wrap(p, 40, break_long_words=False, break_on_hyphens=False))
+    assert scanned(frame, map(line, texts)) == scanned(frame, map(block, texts)) == want
+    # a dot that no cut follows
+    assert scanned(frame, ["This Source Code Form is subject to the terms of the Mozilla Public License, v.\u00a02.0."]) == [("Mpl2Name", "MPL-2.0", 1, 0)]
+
+
 def test_hilbert_curve_visits_neighbours(spark):
     bits, side = 2, 4
     cells = [(x, y, z) for x in range(side) for y in range(side) for z in range(side)]
