@@ -103,7 +103,8 @@ def scan(docs: DataFrame) -> DataFrame:
     and empty texts have neither; rows that share a doc_id are scanned one by one; an empty table gives no rows.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    has_hint = F.translate(text, UPPER, LOWER).rlike(HINT)
+    # between two words of a hint, a text may have whatever becomes a space or falls at a cut
+    has_hint = F.translate(text, UPPER, LOWER).rlike(HINT.replace(" ", "[^a-z0-9+]+"))
     parts = F.split(F.regexp_replace(text, r"([.!?;:])\s+", "$1\n"), "\n")
     units = F.filter(F.transform(F.when(has_hint, parts).otherwise(F.array().cast("array<string>")), normalised), lambda u: u != "")
     sentences = {_bare(s): i for s, i in (SENTENCES | STANDARD).items()}

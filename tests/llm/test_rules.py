@@ -131,6 +131,11 @@ def test_whole_standard_notices(frame):
     assert scanned(frame, ["This Source Code Form is subject to the terms of the Mozilla Public License, v.\u00a02.0."]) == [("Mpl2Name", "MPL-2.0", 1, 0)]
 
 
+def test_wrapped_hints_are_seen(frame):
+    texts = ["All rights\nreserved.", "All  rights\t reserved", " * All rights\r\n * reserved.", "# This is free and unencumbered software released into the public\n# domain.", "free\nsoft ware"]
+    assert scanned(frame, texts) == [("AllRights", "", 1, 1)] * 3 + [("Unlicense", "Unlicense", 1, 0), ("", "", 0, 0)]
+
+
 def test_hilbert_curve_visits_neighbours(spark):
     bits, side = 2, 4
     cells = [(x, y, z) for x in range(side) for y in range(side) for z in range(side)]
