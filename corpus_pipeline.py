@@ -39,7 +39,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark window go."""
     ship_package(spark)
-    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"), nameless=True)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,9 +36,10 @@ def words(text: str = "text") -> Column:
     return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
 
 
-def windows(items: DataFrame, size: int = 10) -> DataFrame:
-    """item_id, window, m: the distinct windows of ``size`` words of each item; an item of fewer words, but not none, is one window."""
-    w = items.where("item_id IS NOT NULL").select("item_id", words().alias("w")).where(F.size("w") > 0)
+def windows(items: DataFrame, size: int = 10, nameless: bool = False) -> DataFrame:
+    """item_id, window, m: the distinct windows of ``size`` words of each item; an item of fewer words, but not none, is one window.
+    With ``nameless``, items without an id have windows too."""
+    w = items.where(F.lit(nameless) | F.col("item_id").isNotNull()).select("item_id", words().alias("w")).where(F.size("w") > 0)
     at = F.sequence(F.lit(1), F.greatest(F.size("w") - (size - 1), F.lit(1)))
     each = w.select("item_id", "w", F.explode(at).alias("i")).select("item_id", F.slice("w", F.col("i"), size).alias("p"))
     return each.select("item_id", F.array_join("p", " ").alias("window"), F.size("p").alias("m")).distinct()
@@ -47,9 +48,9 @@ def windows(items: DataFrame, size: int = 10) -> DataFrame:
 class Patterns:
     """The tables for one block of windows; one set of tables for each window length."""
 
-    def __init__(self, rows: list[tuple[int, str]]) -> None:
+    def __init__(self, rows: list[tuple[int | None, str]]) -> None:
         by_length: dict[int, list[bytes]] = defaultdict(list)
-        self.items: dict[bytes, list[int]] = defaultdict(list)
+        self.items: dict[bytes, list[int | None]] = defaultdict(list)
         for item, window in rows:
             coded = window.encode("utf-8", "surrogatepass")
             if coded not in self.items:
@@ -85,7 +86,7 @@ def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[at] == values
 
 
-def occurrences(texts: list[str | None], patterns: Patterns) -> tuple[np.ndarray, list[tuple[int, int, int, list[int]]]]:
+def occurrences(texts: list[str | None], patterns: Patterns) -> tuple[np.ndarray, list[tuple[int, int, int, list[int | None]]]]:
     """Words of each text; text, first word, words and items of each occurrence of a window."""
     data, bounds = joined_texts(texts)
     raw = _LOWERED[np.frombuffer(data, np.uint8)]
@@ -123,7 +124,7 @@ def occurrences(texts: list[str | None], patterns: Patterns) -> tuple[np.ndarray
     return counts, found
 
 
-def search(docs: DataFrame, rows: list[tuple[int, str]]) -> DataFrame:
+def search(docs: DataFrame, rows: list[tuple[int | None, str]]) -> DataFrame:
     """Every row of ``docs`` (all columns) with __n_words, __runs (hit words from ``a`` to before ``b``) and __items."""
     sent = docs.sparkSession.sparkContext.broadcast(rows)
     kept: list[Patterns] = []
@@ -134,7 +135,7 @@ def search(docs: DataFrame, rows: list[tuple[int, str]]) -> DataFrame:
         for batch in slices(batches):
             counts, found = occurrences(batch.column("text").to_pylist(), kept[0])
             runs: list[list[dict]] = [[] for _ in range(batch.num_rows)]
-            items: list[set[int]] = [set() for _ in range(batch.num_rows)]
+            items: list[set[int | None]] = [set() for _ in range(batch.num_rows)]
             for k, place, m, who in sorted(found, key=lambda x: x[:2]):
                 if runs[k] and runs[k][-1]["b"] >= place:
                     runs[k][-1]["b"] = max(runs[k][-1]["b"], place + m)
@@ -143,27 +144,27 @@ def search(docs: DataFrame, rows: list[tuple[int, str]]) -> DataFrame:
                 items[k].update(who)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(counts, pa.int64()),
-                 pa.array(runs, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))), pa.array([sorted(x) for x in items], pa.list_(pa.int64()))],
+                 pa.array(runs, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))), pa.array([sorted(x, key=lambda i: (i is None, i)) for x in items], pa.list_(pa.int64()))],
                 [*batch.schema.names, "__n_words", "__runs", "__items"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(run, f"{kinds}, __n_words long, __runs array<struct<a:bigint,b:bigint>>, __items array<bigint>")
 
 
-def mark(docs: DataFrame, items: DataFrame, size: int = 10, block: int = 100_000) -> DataFrame:
+def mark(docs: DataFrame, items: DataFrame, size: int = 10, block: int = 100_000, nameless: bool = False) -> DataFrame:
     """Every row of ``docs`` with all its columns and __n_words, __runs, __items.
 
     The windows go out in blocks of about ``block`` rows (cut by hash), so what is broadcast does not grow with the benchmark.  With
     one block nothing is shuffled; with more, the few documents hit by later blocks are joined by id and text.
     Null and empty texts have no words and are never hit; an empty benchmark hits nothing; repeated items
-    count once; items without an id are left out.
+    count once; items without an id are left out, or with ``nameless`` are one item, whose id is null.
     """
-    pairs = cut_lineage(windows(items, size))
+    pairs = cut_lineage(windows(items, size, nameless))
     count = pairs.count()
     blocks = max(1, -(-count // block))
     part = F.pmod(F.xxhash64("item_id", "window"), F.lit(blocks))
 
-    def rows(k: int) -> list[tuple[int, str]]:
+    def rows(k: int) -> list[tuple[int | None, str]]:
         return [(r.item_id, r.window) for r in pairs.where(part == k).select("item_id", "window").collect()]
 
     out = search(docs, rows(0))
@@ -187,18 +188,18 @@ def n_hit() -> Column:
     return F.size(F.array_distinct(F.flatten(F.transform("__runs", lambda r: F.sequence(r["a"], r["b"] - 1))))).cast("long")
 
 
-def contamination(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every row; see ``mark``."""
-    marked = mark(docs.select("doc_id", "text"), items.select("item_id", "text"), size)
+def contamination(docs: DataFrame, items: DataFrame, size: int = 10, nameless: bool = False) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256 (without the null id), contaminated of every row; see ``mark``."""
+    marked = mark(docs.select("doc_id", "text"), items.select("item_id", "text"), size, nameless=nameless)
     names = F.array_sort(F.transform("__items", lambda x: x.cast("string")))
     out = marked.select("doc_id", F.col("__n_words").alias("n_words"), n_hit().alias("n_hit"), F.size("__items").cast("long").alias("n_items"),
                         F.sha2(F.array_join(names, ","), 256).alias("items_sha256"))
     return out.withColumn("contaminated", F.col("n_hit") > 0)
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
+def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = 10, nameless: bool = False) -> DataFrame:
     """The rows of ``docs`` without a word inside an occurrence of a benchmark window; all columns unchanged."""
-    return mark(docs, items.select("item_id", "text"), size).where(F.size("__runs") == 0).drop("__n_words", "__runs", "__items")
+    return mark(docs, items.select("item_id", "text"), size, nameless=nameless).where(F.size("__runs") == 0).drop("__n_words", "__runs", "__items")
 
 
 #: The same question in SQL.

@@ -162,6 +162,27 @@ def test_contamination_of_odd_rows(odd, none, frame):
     assert decontaminate.contamination(none, items).count() == 0
 
 
+def test_items_without_an_id_count_in_the_queries(spark, tmp_path):
+    import duckdb
+
+    import corpus_pipeline
+    from greenwave.llm import catalog
+
+    name = lambda table: str(tmp_path / f"{table}.parquet")
+    docs = [(1, "x a b y"), (2, "c d e"), (3, "a b c d"), (4, "e f"), (5, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(name("documents"))
+    spark.createDataFrame([(None, "a b"), (None, "f"), (7, "c d"), (8, "a b"), (None, None)], "item_id long, text string").write.parquet(name("benchmark"))
+    got = catalog.queries()["op4_decontamination"](spark, str(tmp_path))
+    with duckdb.connect() as db:
+        for table in ("documents", "benchmark"):
+            db.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{name(table)}/*.parquet')")
+        want = db.execute(decontaminate.SQL).fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert {r.doc_id: (r.n_hit, r.n_items) for r in got.collect()} == {1: (2, 2), 2: (2, 1), 3: (4, 3), 4: (1, 1), 5: (0, 0)}
+    kept = corpus_pipeline.benchmark_decontamination(spark, spark.read.parquet(name("documents")).where("doc_id > 3"), str(tmp_path))
+    assert [r.doc_id for r in kept.collect()] == [5]
+
+
 def test_spans_hash_by_content():
     data = np.frombuffer(b"abc abd abc  abc", np.uint8)
     starts, ends, counts = near_dedup.word_spans(data, near_dedup._INSIDE, np.array([0, 8, 17]))
