@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from greenwave.llm import decontaminate, hilbert, host_rules, licences, near_dedup, packing, quality, substrings, token_counts, token_files
+from greenwave.llm import alignment, decontaminate, divergence, hilbert, host_rules, licences, lines, near_dedup, packing, quality, substrings, token_counts, token_files
 from greenwave.llm.common import table
 from greenwave.session import new_table_path, ship_package
 
@@ -54,6 +54,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_frequent_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.removal(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -61,7 +73,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = (op1_near_duplicates, op2_licences, op3_token_files, op4_decontamination, op5_hilbert_shards, op6_quality_rules, op7_repeated_passages, op8_host_rules,
-           op9_packing, op10_token_counts, pipeline)
+           op9_packing, op10_token_counts, op11_source_divergence, op12_token_alignment, op13_frequent_lines, pipeline)
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -84,4 +96,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_decontamination": decontaminate.SQL,
         "op7_repeated_passages": substrings.SQL,
         "op8_host_rules": host_rules.SQL,
+        "op11_source_divergence": divergence.SQL,
+        "op13_frequent_lines": lines.SQL,
     }

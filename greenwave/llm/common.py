@@ -9,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from greenwave.session import new_table_path
+
 #: One or more of the six white-space characters that end a word.
 GAP = r"[\x20\x09-\x0D]+"
 
@@ -17,6 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet into the shared folder and read back: less space than a checkpoint where values repeat."""
+    path = new_table_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def digest(text: str = "text") -> Column:
     """Equal texts share it; a null text counts as empty."""
     return F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
