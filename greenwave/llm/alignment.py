@@ -8,77 +8,145 @@ number of steps, for the tokens of many texts at once, and that last token names
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from greenwave.llm.common import slices, spread, stored
-from greenwave.llm.tokens import BYTE_LETTERS, Encoder
+from greenwave.llm.common import slices, small_batches, spread, stored
+from greenwave.llm.tokens import _FIRST, BYTE_LETTERS, Encoder
 from greenwave.session import cut_lineage
 
 #: An id pair is common if at least one in so many (document, pair) links is its; there are no more than ``COMMON`` such pairs, whatever the corpus.
 COMMON = 1 << 20
 #: Links that a task sums before it hands the counts on.
-HELD = 1 << 21
+HELD = 1 << 20
 #: Groups of more links than this are summed by distinct ids before their pairs are made.
 LARGE = 64
 
+_PACKED = "row long, doc_id long, id_bytes int, a_ids binary, b_ids binary, a_last binary, b_last binary"
 _ALIGNED = "row long, doc_id long, a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>"
 
 
-class Sides:
-    """Both tokenizers and the bytes of each of their tokens.  Side A is byte-level, side B has pieces with byte fallback."""
+class Sides(Encoder):
+    """Both tokenizers, with one bounded memory of chunks, and the bytes of each of their tokens.
 
-    def __init__(self, path_a: str, path_b: str) -> None:
+    Side A is byte-level.  Side B has pieces with byte fallback; none of its pieces goes on behind a space or holds a line break, so
+    the chunks of A can be encoded on their own by B too.
+    """
+
+    def __init__(self, path_a: str, path_b: str, most: int = 250_000) -> None:
         import sentencepiece
 
-        self.a = Encoder(path_a)
-        self.a.tokenizer.encode_special_tokens = True  # special strings in a text are plain text
-        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
+        super().__init__(path_a, most)
+        self.tokenizer.encode_special_tokens = True  # special strings in a text are plain text
+        self.pieces = sentencepiece.SentencePieceProcessor(model_file=path_b)
         back = {c: k for k, c in enumerate(BYTE_LETTERS)}
-        words = {i: w for w, i in self.a.tokenizer.get_vocab(with_added_tokens=True).items()}
+        words = {i: w for w, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
         self.bytes_a = [bytes(back.get(c, 0) for c in words.get(k, "")) for k in range(max(words) + 1)]
-        self.bytes_b = []
-        for k in range(self.b.get_piece_size()):
-            piece = self.b.id_to_piece(k)
-            self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(k) else piece.replace("▁", " ").encode())
+        names = [self.pieces.id_to_piece(k) for k in range(self.pieces.get_piece_size())]
+        if any("▁" in p.lstrip("▁") or "\n" in p for p in names):
+            raise ValueError("a piece goes on behind a space or a line break")
+        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.pieces.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(names)]
         self.len_a, self.len_b = (np.array([len(x) for x in side], np.int64) for side in (self.bytes_a, self.bytes_b))
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, ...]:
+        self.space = self.pieces.piece_to_id("▁")
+        self.start_b, self.length_b = np.zeros_like(self.start), np.zeros_like(self.length)  # -1: the text must be encoded whole
+        self.ids_b, self.used_b = np.zeros(1 << 18, np.uint32), 0
+
+    def _learn(self) -> None:
+        known = len(self.numbers) - len(self.numbers.new)
+        super()._learn()
+        new = list(islice(self.numbers, known, None))
+        if len(self.start_b) < len(self.start):
+            more = np.zeros(len(self.start) - len(self.start_b), np.int64)
+            self.start_b, self.length_b = np.concatenate([self.start_b, more]), np.concatenate([self.length_b, more])
+        # a line break before a chunk without a space stands in for the space that B would add
+        got = self.pieces.encode(["\n" + c[1:] if c[:1] == _FIRST else c for c in new], num_threads=1)
+        sizes, flat, spell = [], [], self.bytes_b.__getitem__
+        for c, ids in zip(new, got, strict=True):
+            ids, want = (ids[2:], c[1:]) if c[:1] == _FIRST else (ids[1:], c) if c == "\n" else (ids or [self.space], " " + c)
+            right = b"".join(map(spell, ids)) == want.encode("utf-8", "surrogatepass")
+            sizes.append(len(ids) if right else -1)
+            flat += ids if right else []
+        while len(self.ids_b) < self.used_b + len(flat):
+            self.ids_b = np.concatenate([self.ids_b, np.zeros_like(self.ids_b)])
+        self.ids_b[self.used_b:self.used_b + len(flat)] = flat
+        size = np.array(sizes, np.int64)
+        self.length_b[known:known + len(new)] = size
+        real = np.maximum(size, 0)
+        self.start_b[known:known + len(new)] = self.used_b + np.cumsum(real) - real
+        self.used_b += len(flat)
+
+    def _trim(self) -> None:
+        n = len(self.numbers)
+        if n <= self.most:
+            return
+        kept = np.argsort(-self.uses[:n], kind="stable")[: self.most // 2]  # as in the memory of A
+        super()._trim()
+        size = np.maximum(self.length_b[kept], 0)
+        ids = self.ids_b[spread(self.start_b[kept], size)]
+        self.start_b[:len(kept)], self.length_b[:len(kept)] = np.cumsum(size) - size, self.length_b[kept]
+        self.ids_b[:len(ids)], self.used_b = ids, len(ids)
+
+    def both(self, texts: list[str | None]) -> tuple[np.ndarray, ...]:
         """The ids of all texts one after another and how many each text has, for A and then for B.
 
         Texts that are null or empty, or whose tokens do not spell a space and the text, have no tokens.
         """
-        texts = [_utf8(t) for t in texts]
-        ids_a, n_a = self.a.encode([" " + t if t else None for t in texts])
-        lists = self.b.encode([t or "" for t in texts], num_threads=1)
-        n_b = np.fromiter(map(len, lists), np.int64, len(lists))
-        ids_b = np.fromiter((i for x in lists for i in x), np.int64, int(n_b.sum()))
-        ids_a, wrong = ids_a.astype(np.int64), []
-        at_a, at_b = (np.concatenate([[0], np.cumsum(n)]).tolist() for n in (n_a, n_b))
-        list_a = ids_a.tolist()
+        self._trim()
+        chunks: list[int] = []
+        counts, slow = np.zeros(len(texts), np.int64), []
+        number = self.numbers.__getitem__
         for k, t in enumerate(texts):
-            want = b" " + (t or "").encode()
-            if not t or (b"".join(map(self.bytes_a.__getitem__, list_a[at_a[k]:at_a[k + 1]])) != want
-                         or b"".join(map(self.bytes_b.__getitem__, lists[k])) != want):
-                wrong.append(k)
-        if wrong:
+            if not t:
+                continue
+            if t[0] == " " or "  " in t or "\n\n" in t or " \n" in t or "\n " in t or t[0] == "\n" or _FIRST in t or "<|" in t:
+                slow.append(k)
+                continue
+            before = len(chunks)
+            chunks.extend(map(number, t.replace("\n", " \n " + _FIRST).split(" ")))
+            counts[k] = len(chunks) - before
+        if self.numbers.new:
+            self._learn()
+        which = np.array(chunks, np.int64)
+        self.uses += np.bincount(which, minlength=len(self.uses))
+        odd = np.flatnonzero((self.length[which] < 0) | (self.length_b[which] < 0))
+        if len(odd):
+            ends = np.cumsum(counts)
+            again = np.unique(np.searchsorted(ends, odd, "right"))
+            slow += again.tolist()
             keep = np.ones(len(texts), bool)
-            keep[wrong] = False
-            ids_a, ids_b = ids_a[np.repeat(keep, n_a)], ids_b[np.repeat(keep, n_b)]
-            n_a, n_b = n_a * keep, n_b * keep
-        return ids_a, n_a, ids_b, n_b
-
-
-def _utf8(text: str | None) -> str | None:
-    """The text, or null if it holds half a surrogate pair, which no tokenizer can spell."""
-    try:
-        return text if text is None or text.isascii() or text.encode() is not None else None
-    except UnicodeEncodeError:
-        return None
+            keep[again] = False
+            which, counts = which[np.repeat(keep, counts)], counts * keep
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        out = []
+        for ids, start, length in ((self.ids, self.start, self.length), (self.ids_b, self.start_b, self.length_b)):
+            size = length[which]
+            out.append([ids[spread(start[which], size)].astype(np.int64), np.diff(np.concatenate([[0], np.cumsum(size)])[ends])])
+        if slow:
+            whole = {k: self._whole(texts[k]) for k in slow}
+            for s, side in enumerate(out):
+                at = np.concatenate([[0], np.cumsum(side[1])])
+                side[0] = np.concatenate([whole[k][s] if k in whole else side[0][at[k]:at[k + 1]] for k in range(len(texts))])
+                side[1] = np.array([len(whole[k][s]) if k in whole else n for k, n in enumerate(side[1].tolist())], np.int64)
+        return *out[0], *out[1]
+
+    def _whole(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of one text by both libraries; none if one of them does not spell it."""
+        none = np.zeros(0, np.int64)
+        try:
+            want = b" " + text.encode()
+        except UnicodeEncodeError:  # half a surrogate pair
+            return none, none
+        a, b = self.whole([" " + text])[0].astype(np.int64), np.array(self.pieces.encode(text), np.int64)
+        spelled_alike = all(b"".join(map(side.__getitem__, ids.tolist())) == want for side, ids in ((self.bytes_a, a), (self.bytes_b, b)))
+        return (a, b) if spelled_alike else (none, none)
 
 
 def terminals(end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,7 +156,8 @@ def terminals(end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndar
     """
     n = len(end_a)
     # the token of the other side that holds a token's last byte reaches farthest among those it overlaps
-    to_b, to_a = np.searchsorted(end_b, end_a), np.searchsorted(end_a, end_b)
+    holds = lambda ends: np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(ends, prepend=0))
+    to_b, to_a = holds(end_b)[end_a - 1], holds(end_a)[end_b - 1]
     ends = end_b[to_b] == end_a  # both sides end here: the A token is the last of its group
     point = np.concatenate([np.where(ends, np.arange(n), n + to_b), to_a])
     while True:
@@ -98,20 +167,31 @@ def terminals(end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndar
         point = far
 
 
-def groups(n_a: np.ndarray, n_b: np.ndarray, len_a: np.ndarray, len_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """How many A and B tokens each group of all the texts has, and how many groups each text has.
-
-    The arguments are the tokens of each text and the bytes of each token.
-    """
+def last_of_group(len_a: np.ndarray, len_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each token of A and of B is the last of its side in its group, from the bytes of each token; texts end at common offsets."""
     if not len(len_a):
-        none = np.zeros(0, np.int64)
-        return none, none, np.zeros(len(n_a), np.int64)
-    end_a, end_b = np.cumsum(len_a), np.cumsum(len_b)  # texts end at common offsets, so no group spans two
-    last_a, last_b = terminals(end_a, end_b)
-    own = np.flatnonzero(last_a == np.arange(len(last_a)))
-    of_text = np.repeat(np.arange(len(n_a)), n_a)[own]
-    number = np.searchsorted(own, last_a), np.searchsorted(own, last_b)
-    return *(np.bincount(x, minlength=len(own)) for x in number), np.bincount(of_text, minlength=len(n_a))
+        return np.zeros(0, bool), np.zeros(0, bool)
+    end_a, end_b = np.cumsum(len_a), np.cumsum(len_b)
+    groups = terminals(end_a, end_b)
+    return tuple(np.append(g[1:] != g[:-1], True) for g in groups)
+
+
+def align_packed(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """What ``align`` gives, in the small form that is stored: ids as unsigned integers of ``id_bytes`` bytes, and for every
+    token a bit that says whether it is the last of its side in its group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sides = _sides(path_a, path_b)
+        size = 2 if max(len(sides.bytes_a), len(sides.bytes_b)) <= 1 << 16 else 4
+        for batch in slices(batches, max_bytes=1 << 19):
+            ids_a, n_a, ids_b, n_b = sides.both(batch.column("text").to_pylist())
+            last = last_of_group(sides.len_a[ids_a], sides.len_b[ids_b])
+            ids = [_binary(x.astype(f"<u{size}"), n) for x, n in ((ids_a, n_a), (ids_b, n_b))]
+            bits = [pa.array([np.packbits(x).tobytes() for x in np.split(flag, np.cumsum(n)[:-1])], pa.binary()) for flag, n in zip(last, (n_a, n_b), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array([size] * len(n_a), pa.int32()), *ids, *bits],
+                                             ["row", "doc_id", "id_bytes", "a_ids", "b_ids", "a_last", "b_last"])
+
+    return docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(run, _PACKED)
 
 
 def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -121,16 +201,46 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     a side does not spell back to the byte, have empty arrays.  Rows that share a doc_id stay apart; ``row`` numbers
     the rows and is fixed once the result is stored.  An empty table gives no rows.  Other columns of ``docs`` are not read.
     """
+    return unpacked(align_packed(docs, path_a, path_b))
+
+
+def unpacked(packed: DataFrame) -> DataFrame:
+    """The arrays of ``align`` from the stored form."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides = _sides(path_a, path_b)
-        for batch in slices(batches, max_bytes=1 << 20):
-            ids_a, n_a, ids_b, n_b = sides.encode(batch.column("text").to_pylist())
-            size_a, size_b, n_groups = groups(n_a, n_b, sides.len_a[ids_a], sides.len_b[ids_b])
-            lists = [_lists(ids, n) for ids, n in ((ids_a, n_a), (ids_b, n_b), (size_a, n_groups), (size_b, n_groups))]
+        for batch in _small(batches):
+            t = Tokens.of(batch)
+            lists = [_lists(x, n) for x, n in ((t.a, t.n_a), (t.b, t.n_b), (t.size_a, t.n_groups), (t.size_b, t.n_groups))]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), *lists], ["row", "doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes"])
 
-    return docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(run, _ALIGNED)
+    return packed.mapInArrow(run, _ALIGNED)
+
+
+@dataclass(frozen=True)
+class Tokens:
+    """The tokens of a batch of rows: ids one row after another, tokens and groups of each row, tokens of each group."""
+
+    a: np.ndarray
+    b: np.ndarray
+    n_a: np.ndarray
+    n_b: np.ndarray
+    size_a: np.ndarray
+    size_b: np.ndarray
+    n_groups: np.ndarray
+
+    @classmethod
+    def of(cls, batch: pa.RecordBatch) -> Tokens:
+        kind = f"<u{batch.column('id_bytes')[0].as_py()}" if batch.num_rows else "<u2"
+        ids = [np.frombuffer(b"".join(batch.column(c).to_pylist()), kind).astype(np.int64) for c in ("a_ids", "b_ids")]
+        n = [pc.binary_length(batch.column(c)).to_numpy().astype(np.int64) // int(kind[2]) for c in ("a_ids", "b_ids")]
+        sizes = []
+        for c, many in zip(("a_last", "b_last"), n, strict=True):
+            packed = np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8)
+            padded = (many + 7) // 8 * 8  # the bits of each row begin with a new byte
+            at = spread(np.cumsum(padded) - padded, many)
+            last = np.flatnonzero(np.unpackbits(packed)[at]) if len(packed) else np.zeros(0, np.int64)
+            sizes.append((np.diff(last, prepend=-1), np.diff(np.searchsorted(last, np.concatenate([[0], np.cumsum(many)])))))
+        return cls(*ids, *n, sizes[0][0], sizes[1][0], sizes[0][1])
 
 
 _SIDES: dict[tuple[str, str], Sides] = {}
@@ -143,14 +253,21 @@ def _sides(path_a: str, path_b: str) -> Sides:
     return _SIDES[path_a, path_b]
 
 
-def _lists(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(flat, pa.int32()))
+def _forget() -> None:
+    """Free the worker's tokenizers, which later steps do not need."""
+    if _SIDES:
+        _SIDES.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
 
+def _binary(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    at = (np.concatenate([[0], np.cumsum(sizes)]) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(at), pa.py_buffer(values.tobytes())])
 
-def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All the values of a column of lists, and how many each row has."""
-    at = column.offsets.to_numpy().astype(np.int64)
-    return column.values.to_numpy(zero_copy_only=False)[at[0]:at[-1]].astype(np.int64), np.diff(at)
+
+def _lists(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(flat, pa.int32()))
 
 
 def _summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -160,13 +277,13 @@ def _summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(times[order], first) if len(first) else times[:0]
 
 
-def links(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def links(t: Tokens, large: int = LARGE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row in the batch, id pair (A id times 2^32 plus B id) and number of links, one for each different pair of each row."""
-    (a, n_a), (b, _), (size_a, n_groups), (size_b, _) = (_flat(batch.column(c)) for c in ("a_ids", "b_ids", "a_sizes", "b_sizes"))
+    a, b, size_a, size_b, n_groups = t.a, t.b, t.size_a, t.size_b, t.n_groups
     times_a, times_b = np.ones(len(a), np.int64), np.ones(len(b), np.int64)
-    large = size_a * size_b > LARGE
-    if large.any():  # in large groups equal ids count as one with a weight, so that long runs of one character stay small
-        (a, times_a, size_a), (b, times_b, size_b) = (_merged(*x, large) for x in ((a, size_a), (b, size_b)))
+    is_large = size_a * size_b > large
+    if is_large.any():  # in large groups equal ids count as one with a weight, so that long runs of one character stay small
+        (a, times_a, size_a), (b, times_b, size_b) = (_merged(*x, is_large) for x in ((a, size_a), (b, size_b)))
     owner = np.repeat(np.arange(len(n_groups)), n_groups)
     made = size_a * size_b
     inside = spread(np.zeros(len(made), np.int64), made)
@@ -193,10 +310,11 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
     """pair, n: in how many rows each id pair is linked.  Each task sums its own links first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _forget()
         held: list[tuple[np.ndarray, np.ndarray]] = []
         seen = 0
         for batch in _small(batches):
-            pairs = links(batch)[1]
+            pairs = links(Tokens.of(batch))[1]
             held.append(_summed(pairs, np.ones(len(pairs), np.int64)))
             seen += len(held[-1][0])
             if seen > HELD:
@@ -211,10 +329,10 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
     return aligned.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
-def _small(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def _small(batches: Iterator[pa.RecordBatch], most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """Batches cut so that each has about ``most`` tokens at most, or is one row."""
     for batch in batches:
-        ends = np.cumsum(np.diff(batch.column("a_ids").offsets.to_numpy().astype(np.int64)) + 16)
+        ends = np.cumsum(pc.binary_length(batch.column("a_ids")).to_numpy().astype(np.int64) // 2 + 16)
         at = 0
         while at < batch.num_rows:
             to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
@@ -235,9 +353,9 @@ def _strings(sides: int) -> list[np.ndarray]:
     return [np.array([p + mark for p in plain], object) for mark in ",|,;"]
 
 
-def spelled(batch: pa.RecordBatch) -> list[str]:
+def spelled(t: Tokens) -> list[str]:
     """The groups of each row as text: a1,a2|b1;a3|b2,b3."""
-    (a, n_a), (b, n_b), (size_a, n_groups), (size_b, _) = (_flat(batch.column(c)) for c in ("a_ids", "b_ids", "a_sizes", "b_sizes"))
+    a, b, n_a, n_b, size_a, size_b = t.a, t.b, t.n_a, t.n_b, t.size_a, t.size_b
     table = _strings_up_to(int(max(a.max(initial=0), b.max(initial=0))) + 1)
     out = np.empty(len(a) + len(b), object)
     before = np.cumsum(size_a + size_b) - size_a - size_b
@@ -266,28 +384,32 @@ _RESULT = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links lo
 
 
 def weighed(aligned: DataFrame, common: int = COMMON) -> DataFrame:
-    """row, doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of every row of a stored result of ``align``.
+    """row, doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of every row of a stored result of ``align_packed``.
 
     1. The linked id pairs are counted: every task sums its own, then they are summed by pair.
     2. Pairs that make up at least 1/``common`` of all (row, pair) links are common.  There cannot be more than ``common`` of these, so
        their counts (17 MB at the very most) are sent to all tasks and looked up where the row is read.
     3. All other pairs are joined by pair; none of them is frequent, so no task gets more than its share.
     """
-    counts = cut_lineage(judged(pair_counts(aligned)))
+    spark = aligned.sparkSession
+    with small_batches(spark):
+        counts = cut_lineage(judged(pair_counts(aligned)))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     is_common = F.col("n") * common >= F.lit(total)
     rows = counts.where(is_common).toArrow()
     order = np.argsort(rows.column("pair").to_numpy())
-    sent = aligned.sparkSession.sparkContext.broadcast(tuple(rows.column(c).to_numpy()[order] for c in ("pair", "n", "best")))
+    sent = spark.sparkContext.broadcast(tuple(rows.column(c).to_numpy()[order] for c in ("pair", "n", "best")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _forget()
         known, n, best = sent.value
         for batch in _small(batches):
-            row, pair, times = links(batch)
+            tokens = Tokens.of(batch)
+            row, pair, times = links(tokens)
             at = np.minimum(np.searchsorted(known, pair), max(0, len(known) - 1))
             found = known[at] == pair if len(known) else np.zeros(len(pair), bool)
             t, at = times[found], at[found]
-            sizes = [np.diff(batch.column(c).offsets.to_numpy()).astype(np.int64) for c in ("a_ids", "b_ids", "a_sizes")]
+            sizes = (tokens.n_a, tokens.n_b, tokens.n_groups)
             rest = ~found
             rare = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(row[rest], minlength=batch.num_rows))]), pa.int32()),
                                             pa.StructArray.from_arrays([pa.array(pair[rest]), pa.array(times[rest])], ["pair", "times"]))
@@ -295,11 +417,12 @@ def weighed(aligned: DataFrame, common: int = COMMON) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("doc_id"), *[pa.array(s) for s in sizes], n_links,
                  _exact_sums(row[found], t * best[at], batch.num_rows), _exact_sums(row[found], t * n[at], batch.num_rows),
-                 pa.array([hashlib.sha256(s.encode()).hexdigest() if s else "" for s in spelled(batch)]), rare],
+                 pa.array([hashlib.sha256(s.encode()).hexdigest() if s else "" for s in spelled(tokens)]), rare],
                 ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "rare"])
 
     names = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
-    near = stored(aligned.mapInArrow(run, _RESULT), "aligned-counts")
+    with small_batches(spark):
+        near = stored(aligned.mapInArrow(run, _RESULT), "aligned-counts")
     far = (near.where(F.size("rare") > 0).select("row", F.inline("rare")).join(counts.where(~is_common), "pair")
            .groupBy("row").agg(F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("more_best"), F.sum(F.col("times") * F.col("n")).alias("more")))
     more = lambda name, extra: (F.col(name) + F.coalesce(extra, F.lit(0))).alias(name)
@@ -318,4 +441,6 @@ def alignment(docs: DataFrame, path_a: str, path_b: str, common: int = COMMON) -
 
     Rows without tokens get zeros and an empty digest.  A pair that several rows with the same doc_id link counts once for each row.
     """
-    return weighed(stored(align(docs, path_a, path_b), "aligned"), common).drop("row")
+    with small_batches(docs.sparkSession):
+        packed = stored(align_packed(docs, path_a, path_b), "aligned")
+    return weighed(packed, common).drop("row")

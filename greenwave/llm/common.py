@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
+    """Jobs that run inside send so many rows at a time to Python; the session's setting comes back afterwards.
+
+    For rows that are large by nature (all tokens of a text), where the usual 10,000 would take much memory at once.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def digest(text: str = "text") -> Column:
     """Equal texts share it; a null text counts as empty."""
     return F.sha2(F.coalesce(F.col(text), F.lit("")), 256)

@@ -79,12 +79,15 @@ def test_pointers_end_at_the_last_token_of_a_group():
     assert set(last_a.tolist()) == set(last_b.tolist()) == {n}
 
 
-def test_large_groups_are_summed_by_id(monkeypatch, frame):
-    docs = [(1, "漢字" * 300), (2, "aaaa" * 500), (3, "é" * 200), (4, "one two")]
-    want = brute(docs)
-    for large in (0, 3, 10**9):
-        monkeypatch.setattr(alignment, "LARGE", large)
-        assert sorted(map(tuple, alignment.alignment(frame(docs, SCHEMA).coalesce(1), A, B).collect()), key=str) == want
+def test_large_groups_are_summed_by_id(frame):
+    docs = [(1, "漢字" * 300), (2, "aaaa" * 500), (3, "é" * 200), (4, "one two"), (5, "漢字" * 9)]
+    assert sorted(map(tuple, alignment.alignment(frame(docs, SCHEMA).coalesce(1), A, B).collect()), key=str) == brute(docs)
+    table = alignment.align_packed(frame(docs, SCHEMA).coalesce(1), A, B).toArrow().combine_chunks()
+    tokens = alignment.Tokens.of(table.to_batches()[0])
+    found = [[x.tolist() for x in alignment.links(tokens, large)] for large in (10**9, 64, 3, 0)]
+    arrays = alignment.align(frame(docs, SCHEMA), A, B).where("doc_id = 4").first()
+    assert sum(arrays.a_sizes) == len(arrays.a_ids) and sum(arrays.b_sizes) == len(arrays.b_ids) and len(arrays.a_sizes) == 2
+    assert found[0] == found[1] == found[2] == found[3]
 
 
 def test_task_sums_may_be_handed_on_early(monkeypatch, frame):
