@@ -15,54 +15,103 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
-from greenwave.llm.common import stored
+from greenwave.llm.common import hash_spans, joined_texts, slices, spread, stored, word_spans
 
 #: Letters and everything beyond ASCII; upper case is lowered first.
+_LOWERED = np.arange(256, dtype=np.uint8)
+_LOWERED[0x41:0x5B] += 0x20
+_INSIDE = np.zeros(256, bool)
+_INSIDE[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 TERM = re.compile("[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 _LOWER = {k: k + 32 for k in range(0x41, 0x5B)}
 MIN_DOCS, TOP, SCALE = 3, 200, 1_000_000_000
 #: Counts that a task holds before it hands them on.
-HELD = 400_000
-#: Counts in the trees of one task at most, about; a block has fewer terms the more sources a language has.
-CELLS = 1 << 21
+HELD = 1_000_000
+#: Counts in the trees of one task, about; a block has fewer terms the more sources a language has, but no fewer terms than sources.
+CELLS = 1 << 18
 #: Sources that are compared in one task; of more, every two stripes of so many meet in a task of their own.
 STRIPE = 512
 
 
+def counted(texts: list[str | None], group: np.ndarray) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """Group, term, occurrences and texts of every term of every group of texts."""
+    data, bounds = joined_texts(texts)
+    raw = _LOWERED[np.frombuffer(data, np.uint8)]
+    starts, ends, counts = word_spans(raw, _INSIDE, bounds)
+    if not len(starts):
+        return np.zeros(0, np.int64), [], np.zeros(0, np.int64), np.zeros(0, np.int64)
+    _, first, word = np.unique(hash_spans(raw, starts, ends), return_index=True, return_inverse=True)
+    size = ends - starts
+    if (size != size[first][word]).any() or (raw[spread(starts, size)] != raw[spread(starts[first][word], size)]).any():
+        raise ValueError("two terms share a hash")  # the caller then takes the texts in halves
+    n_texts = len(texts)
+    key = np.sort(word * n_texts + np.repeat(np.arange(n_texts), counts))
+    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    n, word, text = np.diff(np.append(at, len(key))), key[at] // n_texts, key[at] % n_texts
+    n_groups = int(group.max()) + 1
+    key = word * n_groups + group[text]
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    lowered = raw.tobytes()
+    terms = [lowered[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+    return key[at] % n_groups, [terms[w] for w in (key[at] // n_groups).tolist()], np.add.reduceat(n, at), np.diff(np.append(at, len(key)))
+
+
+def _counted(texts: list[str | None], group: np.ndarray) -> Iterator[tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]]:
+    try:
+        yield counted(texts, group)
+    except ValueError:
+        if len(texts) == 1:
+            found: dict[bytes, int] = {}
+            for t in TERM.findall((texts[0] or "").translate(_LOWER)):
+                found[t.encode()] = found.get(t.encode(), 0) + 1
+            yield np.repeat(group, len(found)), list(found), np.array(list(found.values()), np.int64), np.ones(len(found), np.int64)
+            return
+        half = len(texts) // 2
+        yield from _counted(texts[:half], group[:half])
+        yield from _counted(texts[half:], group[half:])
+
+
 def tallies(docs: DataFrame) -> DataFrame:
     """lang, source, term, n (occurrences), docs: sums that each task makes of its own rows.
 
     Every lang and source also has a row without a term, so that sources without terms are known.
     """
+    names = ["lang", "source", "term"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], dict[str | None, list[int]]] = {}
-        size = 0
-
-        def result() -> pa.RecordBatch:
-            rows = [(*group, term, *counts) for group, terms in held.items() for term, counts in terms.items()]
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 5
-            return pa.RecordBatch.from_arrays([*[pa.array(c, pa.string()) for c in columns[:3]], *[pa.array(c, pa.int64()) for c in columns[3:]]],
-                                              ["lang", "source", "term", "n", "docs"])
-
-        for batch in batches:
-            for lang, source, text in zip(*[batch.column(c).to_pylist() for c in ("lang", "source", "text")], strict=True):
-                terms = held.setdefault((lang or "", source or ""), {None: [0, 0]})
-                found: dict[str, int] = {}
-                for t in TERM.findall((text or "").translate(_LOWER) if text and not text.islower() else text or ""):
-                    found[t] = found.get(t, 0) + 1
-                for t, n in found.items():
-                    if (have := terms.get(t)) is None:
-                        terms[t] = [n, 1]
-                        size += 1
-                    else:
-                        have[0] += n
-                        have[1] += 1
-                if size > HELD:
-                    yield result()
-                    held, size = {}, 0
+        held: list[pa.Table] = []
+        rows = 0
+
+        def summed() -> pa.Table:
+            done = pa.concat_tables(held).group_by(["group", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
+            return done.rename_columns(["group", "term", "n", "docs"])
+
+        def result(done: pa.Table) -> Iterator[pa.RecordBatch]:
+            lang, source = (pa.array([g[k] for g in numbers], pa.string()) for k in range(2))
+            for part in done.combine_chunks().to_batches(max_chunksize=100_000):
+                g = part.column("group")
+                yield pa.RecordBatch.from_arrays([lang.take(g), source.take(g), part.column("term").cast(pa.string()), part.column("n"), part.column("docs")], [*names, "n", "docs"])
+
+        numbers: dict[tuple[str, str], int] = {}
+        for batch in slices(batches, max_bytes=4 << 20):
+            pairs = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), strict=True)
+            group = np.array([numbers.setdefault((lang or "", source or ""), len(numbers)) for lang, source in pairs], np.int64)
+            for g, terms, n, in_docs in _counted(batch.column("text").to_pylist(), group):
+                held.append(pa.table({"group": pa.array(g), "term": pa.array(terms, pa.binary()), "n": pa.array(n), "docs": pa.array(in_docs)}))
+                rows += len(terms)
+            if rows > HELD:
+                done = summed()
+                held, rows = [done], len(done)
+                if rows > HELD // 2:
+                    yield from result(done)
+                    held, rows = [], 0
         if held:
-            yield result()
+            yield from result(summed())
+        size = len(numbers)
+        lang, source = (pa.array([g[k] for g in numbers], pa.string()) for k in range(2))
+        yield pa.RecordBatch.from_arrays([lang, source, pa.nulls(size, pa.string()), *[pa.array([0] * size, pa.int64())] * 2], [*names, "n", "docs"])
 
     return docs.select("lang", "source", "text").mapInArrow(run, "lang string, source string, term string, n long, docs long")
 
@@ -177,7 +226,8 @@ def pair_sums(kept: DataFrame, groups: DataFrame, cells: int = CELLS, stripe: in
     Terms are dealt into blocks by hash, and each block of a language (and each two stripes of sources, where these are many) is
     priced in a task of its own; a common term is one of many in its block.  The sums of the blocks are added up.
     """
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("terms") * F.least(F.col("sources"), F.lit(stripe)) / F.lit(cells))).cast("long")
+    together = F.least(F.col("sources"), F.lit(stripe))
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("terms") / F.greatest(F.lit(cells) / together, together))).cast("long")
     sized = groups.withColumns({"blocks": blocks, "stripes": F.ceil(F.col("sources") / F.lit(stripe)).cast("long"),
                                 "mine": F.expr(f"number div {stripe}").cast("long")})
     meets = F.transform(F.sequence(F.lit(0).cast("long"), F.col("stripes") - 1), lambda s: F.struct(F.least(s, "mine").alias("low"), F.greatest(s, "mine").alias("high")))
