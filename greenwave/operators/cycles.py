@@ -23,15 +23,16 @@ DETECTOR_OFF, DETECTOR_ON = 81, 82
 PHASE_KEYS = ("SignalID", "date", "EventParam")
 
 
-def event_pairs(events: DataFrame, pairs: Sequence[tuple[int, int]], keys: Sequence[str] = PHASE_KEYS) -> DataFrame:
+def event_pairs(events: DataFrame, pairs: Sequence[tuple[int, int]], keys: Sequence[str] = PHASE_KEYS, also: Sequence[str] = ()) -> DataFrame:
     """For every start code followed by its end code: start, earliest end and duration in seconds.
 
     All code pairs are found in one pass.  A start repeated before an end is dropped; a pair of equal
-    codes uses the next strictly later event.
+    codes uses the next strictly later event.  ``also`` names columns of the start event to keep.
     """
     codes = sorted({c for p in pairs for c in p})
-    rows = events.where(F.col("EventCode").isin(*codes)).select(*keys, "Timestamp", "EventCode").distinct()
-    mark = lambda c: F.when(F.col("EventCode") == c, F.col("Timestamp"))
+    rows = events.where(F.col("EventCode").isin(*codes)).select(*keys, "Timestamp", "EventCode", *also).distinct()
+    start = F.struct(F.col("Timestamp").alias("ts"), *also)
+    mark = lambda c: F.when(F.col("EventCode") == c, start)
     cross = [p for p in pairs if p[0] != p[1]]
     parts = []
     if cross:
@@ -41,13 +42,14 @@ def event_pairs(events: DataFrame, pairs: Sequence[tuple[int, int]], keys: Seque
         parts.append(seen.withColumn("_p", F.explode(F.array_compact(F.array(*made)))))
     for a, b in pairs:
         if a == b:
-            same = carry(rows.where(F.col("EventCode") == a), keys, "Timestamp", {"_s": F.col("Timestamp")}, inclusive=False)
+            same = carry(rows.where(F.col("EventCode") == a), keys, "Timestamp", {"_s": start}, inclusive=False)
             parts.append(same.withColumn("_p", F.struct(F.lit(a).alias("code"), F.col("_s").alias("start"))))
     found = None
     for part in parts:
-        part = part.select(*keys, F.col("_p.code").alias("EventCode"), F.col("_p.start").alias("StartTimeStamp"), "Timestamp")
+        part = part.select(*keys, F.col("_p.code").alias("EventCode"), F.col("_p.start.ts").alias("StartTimeStamp"),
+                           *[F.col(f"_p.start.{c}").alias(c) for c in also], "Timestamp")
         found = part if found is None else found.unionByName(part)
-    out = found.where("StartTimeStamp is not null").groupBy(*keys, "EventCode", "StartTimeStamp").agg(
+    out = found.where("StartTimeStamp is not null").groupBy(*keys, "EventCode", "StartTimeStamp", *also).agg(
         F.min("Timestamp").alias("EndTimeStamp"))
     return out.withColumn("Duration", tp.seconds_between("StartTimeStamp", "EndTimeStamp"))
 
@@ -71,6 +73,19 @@ def assign_cycle(intervals: DataFrame, events: DataFrame) -> DataFrame:
         "TimeInCycle", tp.seconds_between("CycleStart", "StartTimeStamp")).withColumnRenamed("EventParam", "Phase")
 
 
+def intervals_in_cycle(events: DataFrame) -> DataFrame:
+    """``assign_cycle`` of ``phase_intervals``, with one read of the events.
+
+    The barriers go through the same layout as the phase events: each of these gets the latest barrier of its signal and
+    day, and an interval takes over that of the event it starts with.
+    """
+    barrier = (F.col("EventCode") == BARRIER) & (F.col("EventParam") == 1)
+    rows = events.where(barrier | F.col("EventCode").isin(GREEN, YELLOW, RED)).select(*PHASE_KEYS, "Timestamp", "EventCode")
+    rows = carry(rows, ["SignalID", "date"], "Timestamp", {"CycleStart": F.when(barrier, F.col("Timestamp"))}, peers=True)
+    out = event_pairs(rows, ((GREEN, YELLOW), (YELLOW, RED), (RED, GREEN)), also=["CycleStart"]).where("CycleStart is not null")
+    return out.withColumn("TimeInCycle", tp.seconds_between("CycleStart", "StartTimeStamp")).withColumnRenamed("EventParam", "Phase")
+
+
 def detector_pairs(events: DataFrame, config: DataFrame) -> DataFrame:
     """Detector on/off pairs with their phase, moved by the travel time from the stop bar."""
     pairs = event_pairs(events, ((DETECTOR_ON, DETECTOR_OFF),)).withColumnRenamed("EventParam", "Detector")
@@ -96,10 +111,11 @@ def detections_by_interval(intervals: DataFrame, detections: DataFrame) -> DataF
 def event_etl(events: DataFrame, config: DataFrame, keep=cut_lineage) -> tuple[DataFrame, DataFrame]:
     """Phase intervals with volume and termination type, and detections within them.
 
-    ``keep`` stores the two intermediate tables that several later steps read (a checkpoint in the
-    cluster's shared folder); pass ``lambda df: df`` to stay fully lazy.
+    ``keep`` stores the two intermediate tables that several later jobs read (a checkpoint in the cluster's shared
+    folder).  None is needed: with ``lambda df: df`` a single job still reads the events once for intervals, once for detections
+    and once for terminations.
     """
-    intervals = keep(assign_cycle(phase_intervals(events), events))
+    intervals = keep(intervals_in_cycle(events))
     found = keep(detections_by_interval(intervals, detector_pairs(events, config)))
     volume = found.where("CountDetector").groupBy("SignalID", "date", "Phase", "EventCode", "PhaseStart").agg(
         F.count(F.lit(1)).alias("Volume"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from greenwave.functions import timeparts as tp
-from greenwave.functions.ordered import asof, carry
+from greenwave.functions.ordered import carry
 
 KM_PER_MILE = 1.609344
 # fixed controller event codes
@@ -58,12 +58,16 @@ def traffic_intervals(traffic: DataFrame, measure: str) -> DataFrame:
 
 
 def traffic_by_rate(events: DataFrame) -> DataFrame:
-    """Flow, occupancy and speed with the metering rate in force (NULL when 0 or none yet)."""
-    rows = events.where(F.col("EventCode").isin(VOLUME, OCCUPANCY, SPEED))
+    """Flow, occupancy and speed with the metering rate in force (NULL when 0 or none yet).
+
+    Rates and traffic go through one layout, with one read of the events: a rate holds from the row of its
+    own time on; of several at one time the highest counts.
+    """
     value = F.when(F.col("EventCode") == SPEED, F.nullif(F.col("EventParam") / KM_PER_MILE, F.lit(0.0))).when(
         F.col("EventCode") == OCCUPANCY, F.col("EventParam") / 10.0).otherwise(F.col("EventParam").cast("double"))
-    wide = rows.withColumn("_v", value).groupBy("SignalID", "date", "Timestamp").pivot("EventCode", [VOLUME, OCCUPANCY, SPEED]).agg(F.min("_v"))
-    wide = wide.withColumnsRenamed({str(VOLUME): "avg_flow_rate", str(OCCUPANCY): "avg_occ", str(SPEED): "avg_speed"})
-    rates = events.where(F.col("EventCode") == RATE).select("SignalID", "date", "Timestamp", F.col("EventParam").alias("metering_rate"))
-    out = asof(wide, rates, ["SignalID", "date"], "Timestamp", "Timestamp", ["metering_rate"])
+    of = lambda code: F.min(F.when(F.col("EventCode") == code, value))
+    wide = events.where(F.col("EventCode").isin(VOLUME, OCCUPANCY, SPEED, RATE)).groupBy("SignalID", "date", "Timestamp").agg(
+        of(VOLUME).alias("avg_flow_rate"), of(OCCUPANCY).alias("avg_occ"), of(SPEED).alias("avg_speed"),
+        F.max(F.when(F.col("EventCode") == RATE, F.col("EventParam"))).alias("metering_rate"), F.count_if(F.col("EventCode") != RATE).alias("_traffic"))
+    out = carry(wide, ["SignalID", "date"], "Timestamp", {"metering_rate": F.col("metering_rate")}).where("_traffic > 0").drop("_traffic")
     return out.withColumn("metering_rate", F.nullif("metering_rate", F.lit(0)))

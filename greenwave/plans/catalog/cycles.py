@@ -47,7 +47,7 @@ _pair_cols = "Duration"
 register("c1_c2_phase_intervals", lambda t: cy.phase_intervals(t.controller_events), "SELECT * FROM gyr0", _pair_cols, extra=CY)
 register("c2_phase_cycles", lambda t: cy.phase_cycles(t.controller_events), pair_sql(1, 1), _pair_cols)
 register("c1_detector_on_off", lambda t: cy.event_pairs(t.controller_events, ((82, 81),)), pair_sql(82, 81), _pair_cols)
-register("c3_intervals_in_cycle", lambda t: cy.assign_cycle(cy.phase_intervals(t.controller_events), t.controller_events),
+register("c3_intervals_in_cycle", lambda t: cy.intervals_in_cycle(t.controller_events),
          "SELECT * FROM gyr", "Duration TimeInCycle", extra=CY)
 
 
