@@ -286,12 +286,15 @@ def throughput(counts_15min: DataFrame) -> DataFrame:
                       tp.dow("Date").alias("DOW"), (F.col("vph") * 4).alias("vph"))
 
 
+NIGHTLY_CODES = (VEHICLE_CODE, PED_CODE, POLL_CODE, ANSWER_CODE)
+
+
 def quarter_hour_tally(events: DataFrame) -> DataFrame:
     """Distinct events per signal, code, parameter and quarter hour, for the codes of the nightly count tables.
 
     One scan and one shuffle of the log; every table of ``daily_count_products`` is a sum over these rows.
     """
-    rows = events.where(F.col("EventCode").isin(VEHICLE_CODE, PED_CODE, POLL_CODE, ANSWER_CODE)).select(
+    rows = events.where(F.col("EventCode").isin(*NIGHTLY_CODES)).select(
         "SignalID", "Timestamp", "EventCode", "EventParam").distinct()
     return rows.groupBy("SignalID", tp.floor_period("Timestamp", "15 min").alias("Timeperiod"), "EventCode", "EventParam").agg(
         F.count(F.lit(1)).alias("vol"))
@@ -321,7 +324,11 @@ def daily_count_products(events: DataFrame, config: DataFrame, ped_config: DataF
     The log is read once: ``keep`` stores its quarter-hour tally, from which all tables derive.  Pass
     ``lambda df: df`` to stay lazy where only one of the tables is wanted.
     """
-    tally = keep(quarter_hour_tally(events))
+    return count_products(keep(quarter_hour_tally(events)), config, ped_config)
+
+
+def count_products(tally: DataFrame, config: DataFrame, ped_config: DataFrame) -> dict[str, DataFrame]:
+    """The nightly set of count tables from the quarter-hour tally, also a stored one that late events were merged into."""
     hour = tallied_counts(tally, config, VEHICLE_CODE, "1 hour")
     quarter = tallied_counts(tally, config, VEHICLE_CODE, "15 min")
     ped_hour = tallied_counts(tally, ped_config, PED_CODE, "1 hour").where("CallPhase is not null")

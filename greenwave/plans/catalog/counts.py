@@ -6,6 +6,8 @@ from greenwave.functions import timeparts as tp
 from greenwave.operators import config as cfg, counts as ct
 from greenwave.plans.adapters_sql import dow, week
 from greenwave.plans.registry import register
+from greenwave.session import new_table_path
+from greenwave.sources import incremental as inc
 
 GRID_HOURS = "SELECT unnest(range(24)) AS h"
 
@@ -229,3 +231,20 @@ for name, table, sql, floats in (
         ("ped_actuations_per_hour", "ped_actuations_ph", vph_sql("paph", "event_ped_1hr", "hour", "Hour", ""), ""),
         ("ped_actuations_per_15min", "ped_actuations_15min", vph_sql("pa15", "event_ped_15min", "15", "Timeperiod", ""), "")):
     register(f"m2_{name}", nightly(table), sql, floats, extra=EVENT_UPTIME)
+
+
+def late_events(t, name):
+    """A table of the nightly set from a store that got the log in three batches: most of it, then late events with some that came before, then the second batch once more."""
+    ev = t.controller_events
+    late = F.pmod(F.hash("SignalID", "Timestamp", "EventCode"), F.lit(7))
+    root = new_table_path(t.spark, "nightly")
+    inc.open_store(t.spark, root)
+    inc.add_batch(t.spark, root, ev.where(late != 3), "2024-01-05")
+    for _ in range(2):
+        inc.add_batch(t.spark, root, ev.where(late >= 2), "2024-01-06")
+    inc.add_batch(t.spark, root, ev.where(late == 3), "2024-01-07")
+    return ct.count_products(inc.stored_tally(t.spark, root), t.det_config, t.det_config)[name]
+
+
+for name, sql, floats in (("counts_1hr", "SELECT * FROM event_counts", ""), ("comm_uptime", COMM, "uptime response_ms")):
+    register(f"m2_{name}_after_late_events", lambda t, name=name: late_events(t, name), sql, floats, extra=EVENT_UPTIME)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from greenwave.functions import timeparts as tp
 from greenwave.operators import counts as ct, rollup as ru
+from greenwave.operators.lattice import lattice
 from greenwave.plans import rollup_sql as rs
 from greenwave.plans.adapters_sql import week, dow
 from greenwave.plans.catalog.counts import UPTIME_SQL, filtered
@@ -70,6 +71,17 @@ for m, w, label in (("aog", "vol", "aog"), ("pr", "vol", "pr"), ("sf_freq", "cyc
 register("r10_monthly_aog_by_hr_with_delta", lambda t: ru.monthly_avg_by_hr(t.metrics_hourly.withColumn("Hour", F.col("Date_Hour")), "aog", "vol"),
          rs.monthly_avg_by_hr("SELECT *, Date_Hour AS Hour FROM metrics_hourly", "aog", "vol"), "aog vol delta")
 
+# ---- all levels from one table of partial sums --------------------------------
+for m, w, label in (("aog", "vol", "aog"), ("sf_freq", "cycles", "sf")):
+    src = "SELECT * FROM metrics_hourly"
+    dy = rs.period_avg(f"SELECT * FROM metrics_hourly WHERE {rs.PEAK.format(c='Date_Hour')}", m, "Date", w)
+    wk, mo = rs.weekly_avg_by_day(src, m, w), rs.monthly_avg_by_day(src, m, w, True)
+    parts = []
+    for time, sql, per in (("day", dy, "Date"), ("week", wk, "Date"), ("month", mo, "Month")):
+        parts.append(f"SELECT '{time}' AS time, 'signal' AS place, CAST(NULL AS VARCHAR) AS Zone_Group, CAST(SignalID AS VARCHAR) AS name, {per} AS period, {m}, {w}, delta FROM ({sql})")
+        parts.append(f"SELECT '{time}', 'corridor', Zone_Group, Corridor, {per}, {m}, {w}, delta FROM ({rs.corridor_rollup(sql, m, per, w)})")
+    register(f"r4_r11_all_levels_{label}", lambda t, m=m, w=w: lattice(t.metrics_hourly, t.corridors, m, w), " UNION ALL ".join(parts), f"{m} {w} delta")
+
 # ---- hourly volumes ---------------------------------------------------------
 VPH = {m: f"SELECT SignalID, Date_Hour AS Hour, sum({c}) AS {m}, min(Week) AS Week, min(DOW) AS DOW FROM metrics_hourly GROUP BY ALL"
        for m, c in (("vph", "vol"), ("paph", "paph"))}

@@ -187,6 +187,26 @@ SELECT SignalID, EventCode, EventParam, count(*) FILTER (s = 'l') AS left_rows,
 FROM (SELECT *, 'l' AS s FROM controller_events WHERE EventParam <> 4 UNION ALL SELECT *, 'r' FROM controller_events WHERE EventCode <> 82) GROUP BY ALL""")
 register("s16_row_diff", lambda t: sinks.row_diff(*two_sources(t))["left_only"],
          "SELECT * FROM controller_events WHERE EventParam <> 4 EXCEPT ALL SELECT * FROM controller_events WHERE EventCode <> 82")
+
+
+def logs(t):
+    """Two event logs: the second lacks some events, has others once more, and some with another code."""
+    ev = t.controller_events
+    second = ev.where((F.col("EventParam") != 4) | (F.col("SignalID") != 1))
+    return ev, second.withColumn("EventCode", F.when((F.col("SignalID") == 2) & (F.hour("Timestamp") == 5), F.col("EventCode") + 1000).otherwise(F.col("EventCode")))
+
+
+register("s16_tree_diff", lambda t: sinks.tree_diff(*logs(t), ["SignalID", "Timestamp"], [{"date": F.col("date")}, {"SignalID": F.col("SignalID")}, {"hour": F.hour("Timestamp")}])
+         .withColumn("columns", F.array_join("columns", ",")), """
+WITH l AS (SELECT *, row_number() OVER (PARTITION BY SignalID, "Timestamp" ORDER BY EventCode, EventParam, date) AS i FROM controller_events),
+r AS (SELECT *, row_number() OVER (PARTITION BY SignalID, "Timestamp" ORDER BY EventCode, EventParam, date) AS i FROM (
+  SELECT * REPLACE (CASE WHEN SignalID = 2 AND hour("Timestamp") = 5 THEN EventCode + 1000 ELSE EventCode END AS EventCode) FROM controller_events WHERE EventParam <> 4 OR SignalID <> 1))
+SELECT coalesce(l.SignalID, r.SignalID) AS SignalID, coalesce(l."Timestamp", r."Timestamp") AS "Timestamp",
+  CASE WHEN r.i IS NULL THEN 'left' WHEN l.i IS NULL THEN 'right' ELSE 'changed' END AS side,
+  CASE WHEN r.i IS NULL OR l.i IS NULL THEN '' ELSE concat_ws(',', CASE WHEN l.EventCode IS DISTINCT FROM r.EventCode THEN 'EventCode' END,
+    CASE WHEN l.EventParam IS DISTINCT FROM r.EventParam THEN 'EventParam' END, CASE WHEN l.date IS DISTINCT FROM r.date THEN 'date' END) END AS columns
+FROM l FULL JOIN r ON l.SignalID = r.SignalID AND l."Timestamp" = r."Timestamp" AND l.i = r.i
+WHERE l.i IS NULL OR r.i IS NULL OR l.EventCode IS DISTINCT FROM r.EventCode OR l.EventParam IS DISTINCT FROM r.EventParam OR l.date IS DISTINCT FROM r.date""")
 register("s17_append_distinct", lambda t: sinks.append_distinct(*two_sources(t)), "SELECT DISTINCT * FROM controller_events WHERE EventParam <> 4 OR EventCode <> 82")
 register("u3_missing_days", lambda t: t.metrics_daily.where("CallPhase = 2").select("SignalID", "Date").distinct().subtract(
     t.metrics_daily.where("CallPhase = 6").select("SignalID", "Date")),

@@ -2,12 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from greenwave.functions import timeparts as tp
+from greenwave.functions import sketches as sk, timeparts as tp
 from greenwave.operators import rollup as ru, serve as sv, travel as tv
 from greenwave.plans import rollup_sql as rs
 from greenwave.plans.adapters_sql import week
 from greenwave.plans.catalog.rollups import VPH, hourly_volume, midweek
 from greenwave.plans.registry import register
+from greenwave.session import cut_lineage
 
 TT = {"stt": """SELECT DISTINCT r.tmc_code, s.Corridor, s.Subcorridor, Hour, s.miles, reference_speed, travel_time_minutes, speed,
         s.miles / nullif(reference_speed, 0) * 60 AS reference_minutes, CAST(Hour AS DATE) AS date FROM (SELECT * EXCLUDE (Corridor, miles) FROM travel_times) r JOIN segments s ON r.tmc_code = s.tmc_code"""}
@@ -35,6 +36,26 @@ register("t3_relative_speed_index", lambda t: tv.relative_speed_index(t.travel_t
          "SELECT *, speed / Speed_Limit AS rsi FROM (SELECT Corridor, quantile_cont(speed, 0.9) AS speed FROM travel_times GROUP BY ALL) JOIN speed_limits USING (Corridor)", "speed rsi")
 
 
+def month_of_hour():
+    return F.trunc(F.col("Hour").cast("date"), "month").alias("Month")
+
+
+def speed_index_from_sketches(t):
+    """Sketches by day and segment are stored, merged to corridors and months, and their ranks checked against the rows."""
+    times = t.travel_times
+    daily = cut_lineage(sk.quantile_sketches(times, ["Corridor", "tmc_code", F.col("Hour").cast("date").alias("Date")], "speed"))
+    merged = sk.merged_sketches(daily, ["Corridor", F.trunc("Date", "month").alias("Month")])
+    estimate = merged.select("Corridor", "Month", "n", sk.sketch_quantile(0.9).alias("estimate"))
+    rows = times.withColumn("Month", month_of_hour())
+    checked = sk.with_exact_rank(estimate, rows, ["Corridor", "Month"], "speed", "estimate")
+    return checked.join(t.speed_limits, "Corridor").select("Corridor", "Month", "n", "Speed_Limit", sk.rank_within(0.9).alias("rank_within_1_percent"))
+
+
+register("t3_speed_index_from_sketches", speed_index_from_sketches, """
+SELECT Corridor, Month, n, Speed_Limit, true AS rank_within_1_percent FROM (
+  SELECT Corridor, CAST(date_trunc('month', Hour) AS DATE) AS Month, count(*) AS n FROM travel_times GROUP BY ALL) JOIN speed_limits USING (Corridor)""", "Speed_Limit")
+
+
 def injury(t):
     return t.travel_times.select(F.col("speed").alias("mph_bin")).distinct().withColumn("pct", F.col("mph_bin") * F.col("mph_bin") / 10000)
 

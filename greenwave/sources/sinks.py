@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from greenwave.functions import timeparts as tp
 from greenwave.functions.stats import with_delta
@@ -134,6 +134,58 @@ def row_diff(left: DataFrame, right: DataFrame) -> dict[str, DataFrame]:
     return {"left_only": left.exceptAll(right), "right_only": right.exceptAll(left)}
 
 
+def branch_hashes(df: DataFrame, branch: dict[str, Column], rows: Sequence[str]) -> DataFrame:
+    """Number and hash of the rows of every branch; equal sets of rows, repeats counted, have equal hashes in any order.
+
+    Each task sums the hashes of its own rows, so a branch moves as one row a task.
+    """
+    # NULLs are marked: hashing alone passes over them
+    h = F.xxhash64(*[x for c in rows for x in (F.col(c), F.col(c).isNull())])
+    marked = df.select(*[c.alias(n) for n, c in branch.items()], h.alias("_h"))
+    return marked.groupBy(*branch).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col("_h").bitwiseAND(0xFFFFFFFF)).alias("_low"), F.sum(F.shiftrightunsigned("_h", 32)).alias("_high"))
+
+
+def tree_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], branches: Sequence[dict[str, Column]]) -> DataFrame:
+    """Rows in which two sources differ: the keys, side ('left', 'right' or 'changed') and the names of the columns that differ.
+
+    ``branches`` are ever finer parts of the data, such as dates, then signals, then hours.  The number and hash of each finest branch are
+    summed up to the coarser ones; from the top down only branches that differ are followed, and only
+    rows of finest branches that differ are shuffled and compared.  Rows of equal keys are paired in the order of
+    their other columns; NULLs match each other.  Columns are those of ``left``.
+    """
+    columns = left.columns
+    others = [c for c in columns if c not in keys]
+    finest = {n: c for level in branches for n, c in level.items()}
+    sides = [branch_hashes(df.select(*columns), finest, columns) for df in (left, right)]
+    signed = sides[0].withColumn("_s", F.lit(1)).unionByName(sides[1].withColumn("_s", F.lit(-1)))
+    names: list[str] = []
+    open_ = None
+    for level in branches:
+        names = [*names, *level]
+        here = signed if open_ is None else signed.join(open_, _same(names[: -len(level)]), "left_semi")
+        grouped = here.groupBy(*names).agg(*[F.sum(F.col(c) * F.col("_s")).alias(c) for c in ("_n", "_low", "_high")])
+        open_ = grouped.where("_n <> 0 OR _low <> 0 OR _high <> 0").select(*[F.col(n).alias(f"{n}_open") for n in names])
+    parts = []
+    for df, side in ((left, "l"), (right, "r")):
+        rows = df.select(*columns).withColumns({n: c for n, c in finest.items() if n not in columns})
+        parts.append(rows.join(open_, _same(names), "left_semi").select(*columns).withColumn("_side", F.lit(side)))
+    place = Window.partitionBy(*keys, "_side").orderBy(*others)
+    paired = parts[0].unionByName(parts[1]).withColumn("_i", F.row_number().over(place))
+    one = lambda s: F.any_value(F.when(F.col("_side") == s, F.struct(F.lit(1).alias("_in"), *others)), F.lit(True))
+    both = paired.groupBy(*keys, "_i").agg(one("l").alias("_l"), one("r").alias("_r"))
+    differs = F.array_compact(F.array(*[F.when(~F.col(f"_l.{c}").eqNullSafe(F.col(f"_r.{c}")), F.lit(c)) for c in others]))
+    side = F.when(F.col("_r").isNull(), "left").when(F.col("_l").isNull(), "right").otherwise("changed")
+    out = both.select(*keys, side.alias("side"), F.when(side == "changed", differs).otherwise(F.array().cast("array<string>")).alias("columns"))
+    return out.where((F.col("side") != "changed") | (F.size("columns") > 0))
+
+
+def _same(names: Sequence[str]) -> Column:
+    out = F.lit(True)
+    for n in names:
+        out = out & F.col(n).eqNullSafe(F.col(f"{n}_open"))
+    return out
+
+
 def append_distinct(old: DataFrame | None, new: DataFrame) -> DataFrame:
     """Old and new rows together without copies."""
     return new.distinct() if old is None else old.unionByName(new, allowMissingColumns=True).distinct()
