@@ -15,8 +15,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import MapType, VariantType
 
-from greenwave.llm.common import digest, hash_spans, joined_texts, mix, slices, word_spans
+from greenwave.llm.common import digest, hash_spans, joined_texts, mix, slices, stored, word_spans
 from greenwave.session import cut_lineage
 
 WORDS = 5
@@ -117,8 +118,20 @@ def bands_of(best: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return out
 
 
-def sign(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, n_elements and the band keys of every text; no keys where there are no words."""
+def first_copies(docs: DataFrame) -> DataFrame:
+    """text_key, row and node for every different text, stored: its first row by doc_id (null last), then by the other columns, and a number.
+
+    Copies are dropped in each task before the texts move, and the texts move only here.
+    """
+    others = [F.col(f"`{f.name}`") for f in docs.schema if f.name != "doc_id" and not isinstance(f.dataType, (MapType, VariantType))]
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", *others)
+    rows = docs.select(digest().alias("text_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), rank.alias("rank"))
+    first = rows.groupBy("text_key").agg(F.min_by("row", "rank").alias("row"))
+    return stored(first.withColumn("node", F.monotonically_increasing_id()), "texts")
+
+
+def sign(texts: DataFrame) -> DataFrame:
+    """node, text_key, copy_of, n_elements and the band keys of every text; no keys where there are no words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -127,11 +140,12 @@ def sign(docs: DataFrame) -> DataFrame:
             have = counts > 0
             at = np.concatenate([[0], np.cumsum(have * keys.shape[1])])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), pa.array(counts, pa.int64()),
+                [*[batch.column(c) for c in ("node", "text_key", "copy_of")], pa.array(counts, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(keys[have].ravel().view(np.int64), pa.int64()))],
-                ["doc_id", "text_key", "n_elements", "bands"])
+                ["node", "text_key", "copy_of", "n_elements", "bands"])
 
-    return docs.select("doc_id", digest().alias("text_key"), "text").mapInArrow(run, "doc_id long, text_key string, n_elements long, bands array<long>")
+    rows = texts.select("node", "text_key", F.col("row.doc_id").alias("copy_of"), F.col("row.text").alias("text"))
+    return rows.mapInArrow(run, "node long, text_key string, copy_of long, n_elements long, bands array<long>")
 
 
 def similarities(pairs: DataFrame) -> DataFrame:
@@ -167,6 +181,25 @@ def element_rows(texts: DataFrame) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "node long, element long")
 
 
+#: A key that more than one in so many rows have is a hub; there are fewer than ``HUBS`` of these, so their labels are sent to all tasks.
+HUBS = 64
+#: Rows of a graph that one task takes; small graphs then stay in few tasks and files.
+ROWS_A_TASK = 200_000
+
+
+def _hubs(rows: DataFrame, key: str, total: int) -> list[int]:
+    return [r[0] for r in rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * HUBS > total).select(key).collect()]
+
+
+def _labelled(rows: DataFrame, key: str, labels: DataFrame, hubs: list[int]) -> DataFrame:
+    """``rows`` with ``comp``, the label of the node in ``key``; rows of hubs stay where they are."""
+    of = labels.select(F.col("node").alias(key), "comp")
+    if not hubs:
+        return rows.join(of, key)
+    is_hub = F.col(key).isin(hubs)
+    return rows.where(~is_hub).join(of.where(~is_hub), key).unionByName(rows.where(is_hub).join(F.broadcast(of.where(is_hub)), key))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, comp for every node of the edges (a, b): the smallest node that can be reached.
 
@@ -174,15 +207,18 @@ def components(edges: DataFrame) -> DataFrame:
     of the longest chain.  Each round is written to the shared folder.
     """
     both = cut_lineage(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("comp")))
+    total = both.count()
+    few = lambda df: df.coalesce(-(-total // ROWS_A_TASK) or 1)
+    near_hubs = _hubs(few(both), "b", total)
+    labels = cut_lineage(few(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("comp"))))
     while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("best"))
-        step = labels.join(near, "node").select("node", F.least("comp", "best").alias("next"), "comp")
-        jump = step.select(F.col("node").alias("next"), F.col("next").alias("far"))
-        new = cut_lineage(step.join(jump, "next").select("node", F.least("next", "far").alias("comp"), F.col("comp").alias("was")))
-        if new.where("comp < was").isEmpty():
-            return new.select("node", "comp")
-        labels = new.select("node", "comp")
+        near = few(_labelled(both, "b", labels, near_hubs)).groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("best"))
+        step = cut_lineage(few(labels.join(near, "node").select("node", F.least("comp", "best").alias("next"), F.col("comp").alias("was"))))
+        jumped = _labelled(step, "next", step.select("node", F.col("next").alias("comp")), _hubs(step, "next", total))
+        labels = cut_lineage(few(jumped.select("node", F.least("next", "comp").alias("comp"), "was")))
+        if labels.where("comp < was").isEmpty():
+            return labels.select("node", "comp")
+        labels = labels.select("node", "comp")
 
 
 def checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -255,18 +291,16 @@ def completed(shared: DataFrame, comps: DataFrame, rank: DataFrame, tested: Data
     return cut_lineage(found.where(F.col("similarity") >= similarity).select("a", "b"))
 
 
-def text_classes(docs: DataFrame, similarity: float) -> DataFrame:
-    """text_key, copy_of, class_id, class_text for every different text.
+def text_classes(copies: DataFrame, similarity: float) -> DataFrame:
+    """node, text_key, copy_of, class_id, class_text for every different text; ``copies`` as from ``first_copies``.
 
-    1. Equal texts become one node, so copies cost one row each.
+    1. Equal texts are one node already, so copies cost nothing here.
     2. In each bucket of a band all nodes are checked against one head: the node that shares most buckets
        with others.  That is one pair per node, not all pairs.
     3. Buckets that still hold more than one class are completed, see ``completed``.  In the end
        every candidate pair is joined by links, or was checked, or is proven to be less similar.
     """
-    nodes = cut_lineage(sign(docs).groupBy("text_key")
-                        .agg(F.min("doc_id").alias("copy_of"), F.first("n_elements").alias("n_elements"), F.first("bands").alias("bands"))
-                        .withColumn("node", F.monotonically_increasing_id()))
+    nodes = cut_lineage(sign(copies))
     placed = nodes.select("node", F.explode("bands").alias("key"))
     sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = cut_lineage(placed.join(sizes, "key"))
@@ -275,19 +309,16 @@ def text_classes(docs: DataFrame, similarity: float) -> DataFrame:
     starred = cut_lineage(shared.join(heads, "key").where("node <> head")
                           .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct())
 
-    wanted = nodes.join(rank.select("node"), "node").select(F.col("text_key").alias("wanted_key"), "copy_of", "node")
-    one_copy = (F.col("text_key") == F.col("wanted_key")) & F.col("doc_id").eqNullSafe(F.col("copy_of"))
-    texts = cut_lineage(docs.select("doc_id", digest().alias("text_key"), "text").join(wanted, one_copy).dropDuplicates(["node"]).select("node", "text"))
-
+    texts = copies.select("node", F.col("row.text").alias("text"))
     links = cut_lineage(checked(starred, texts).where(F.col("similarity") >= similarity).select("a", "b"))
     comps = components(links)
     more = completed(shared, comps, rank, starred, texts, nodes.select("node", "n_elements"), similarity)
     if more is not None:
         comps = components(links.unionByName(more))
-    of_node = nodes.join(comps, "node", "left").select("text_key", "copy_of", F.coalesce("comp", "node").alias("comp"))
+    of_node = nodes.join(comps, "node", "left").select("node", "text_key", "copy_of", F.coalesce("comp", "node").alias("comp"))
     first = F.min(F.struct(F.col("copy_of").isNull().alias("unnamed"), "copy_of", "text_key")).alias("first")
     lowest = of_node.groupBy("comp").agg(first).select("comp", F.col("first.copy_of").alias("class_id"), F.col("first.text_key").alias("class_text"))
-    return of_node.join(lowest, "comp").select("text_key", "copy_of", "class_id", "class_text")
+    return of_node.join(lowest, "comp").select("node", "text_key", "copy_of", "class_id", "class_text")
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -299,15 +330,20 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     are linked to equal texts only; a class that has no doc_id gets null.  Rows that share a doc_id are
     judged by their texts.  An empty table gives no rows.  Other columns of ``docs`` are not read.
     """
-    named = text_classes(docs, similarity).select("text_key", "copy_of", "class_id")
+    slim = docs.select("doc_id", "text")
+    named = text_classes(first_copies(slim), similarity).select("text_key", "copy_of", "class_id")
     return docs.select("doc_id", digest().alias("text_key")).join(named, "text_key").select("doc_id", "class_id", "copy_of")
 
 
 def keep_first(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One row of each class, with all the columns of ``docs``: that with the smallest doc_id, and of several texts with that id the first by hash."""
-    kept = text_classes(docs, similarity).where("text_key = class_text").select(F.col("text_key").alias("__class_text"), F.col("copy_of").alias("__copy_of"))
-    is_first = (F.col("__text_key") == F.col("__class_text")) & F.col("doc_id").eqNullSafe(F.col("__copy_of"))
-    return docs.withColumn("__text_key", digest()).join(kept, is_first, "left_semi").dropDuplicates(["__text_key"]).drop("__text_key")
+    """One row of each class, with all the columns of ``docs``, whatever their names: that with the smallest doc_id (null last), of several texts
+    with that id the first by hash, and of equal texts the first by the other columns.
+
+    Null texts count as empty.  An empty table gives no rows.
+    """
+    copies = first_copies(docs)
+    kept = text_classes(copies, similarity).where("text_key = class_text").select("node")
+    return copies.join(kept, "node", "left_semi").select("row.*")
 
 
 #: The same question in SQL, over all pairs of texts that share a run of words.
