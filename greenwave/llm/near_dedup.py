@@ -309,7 +309,8 @@ def text_classes(copies: DataFrame, similarity: float) -> DataFrame:
     starred = cut_lineage(shared.join(heads, "key").where("node <> head")
                           .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct())
 
-    texts = copies.select("node", F.col("row.text").alias("text"))
+    # only texts that share a band with another one are compared; they move once here, the others stay where they are
+    texts = stored(copies.select("node", F.col("row.text").alias("text")).join(rank.select("node"), "node"), "candidates")
     links = cut_lineage(checked(starred, texts).where(F.col("similarity") >= similarity).select("a", "b"))
     comps = components(links)
     more = completed(shared, comps, rank, starred, texts, nodes.select("node", "n_elements"), similarity)
