@@ -127,16 +127,28 @@ def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
 def write_shards(docs: DataFrame, folder: str, shards: int = 16) -> None:
     """The documents with all their columns as Parquet, one folder a shard; rows are matched to shards by id, size and checksum.
 
-    Rows alike in all three are copies, so any of their shards will do for each: the n-th goes to the n-th.
+    Rows alike in all three (null ids are alike) go to the shards that hold them, the n-th by the hash of all columns to the n-th.  A
+    shard may be written by many tasks: Spark cuts it by ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.  A column of the input that
+    is itself named ``shard`` is stored as ``shard_in``, with as many more ``_in`` as it takes to be the only one.  Null texts and
+    metadata stay null; an empty table writes no folder of a shard.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    keys = [F.coalesce("doc_id", F.lit(-1)), F.octet_length(text) + 1, F.crc32(F.encode(text, "UTF-8"))]
-    nth = W.partitionBy("__a", "__b", "__c").orderBy(F.lit(0))
-    own = docs.select("*", *[k.cast("long").alias(n) for k, n in zip(keys, ("__a", "__b", "__c"), strict=True)]).withColumn("__nth", F.row_number().over(nth))
-    at = (shard_documents(docs, shards).select(F.coalesce("doc_id", F.lit(-1)).alias("__a"), F.col("size").alias("__b"), F.col("text_crc32").alias("__c"), F.col("shard").alias("__shard"))
-          .withColumn("__nth", F.row_number().over(nth)))
-    (own.join(at, ["__a", "__b", "__c", "__nth"]).drop("__a", "__b", "__c", "__nth").withColumnRenamed("__shard", "shard")
-     .repartition(shards, "shard").write.partitionBy("shard").parquet(folder))
+    taken = {c.lower() for c in docs.columns}
+    names = []
+    for c in docs.columns:
+        new = c
+        while new.lower() == "shard" or (new != c and new.lower() in taken):
+            new += "_in"
+        names.append(new)
+    # the row travels as one column, so no name of its own can clash with the keys
+    row = docs.toDF(*names).select(F.struct("*").alias("row"))
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    own = row.select("row", F.col("row.doc_id").alias("a"), (F.octet_length(text) + 1).cast("long").alias("b"), F.crc32(F.encode(text, "UTF-8")).alias("c"), F.xxhash64("row").alias("h"))
+    at = shard_documents(docs, shards).select(F.col("doc_id").alias("x"), F.col("size").alias("y"), F.col("text_crc32").alias("z"), "shard")
+    own = own.withColumn("i", F.row_number().over(W.partitionBy("a", "b", "c").orderBy("h")))
+    at = at.withColumn("j", F.row_number().over(W.partitionBy("x", "y", "z").orderBy("shard")))
+    same = F.col("a").eqNullSafe(F.col("x")) & (F.col("b") == F.col("y")) & (F.col("c") == F.col("z")) & (F.col("i") == F.col("j"))
+    placed = own.join(at, same).select("shard", *[F.col(f"row.`{n}`") for n in names])
+    placed.hint("rebalance", "shard").write.partitionBy("shard").parquet(folder)
 
 
 def manifest(placed: DataFrame) -> DataFrame:

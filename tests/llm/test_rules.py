@@ -167,6 +167,19 @@ def test_shards_are_even_and_prunable(spark, frame, odd, none, tmp_path):
     assert {r.shard: r["count"] for r in written.groupBy("shard").count().collect()} == counts
 
 
+def test_written_shards_keep_rows_and_clashing_names(spark, odd, none, tmp_path):
+    docs = odd.withColumn("shard", F.lit("mine")).withColumn("shard_in", F.lit(5)).withColumn("__nth", F.col("n_chars"))
+    hilbert.write_shards(docs, str(tmp_path / "odd"), 3)
+    back = spark.read.parquet(str(tmp_path / "odd"))
+    assert set(back.columns) == {*odd.columns, "shard", "shard_in", "shard_in_in", "__nth"}
+    names = [*odd.columns, "__nth", "shard_in"]
+    plain = lambda df: sorted(map(repr, df.select(*names).collect()))
+    assert plain(back) == plain(docs) and {r[0] for r in back.select("shard_in_in").collect()} == {"mine"}
+    want = Counter(r.shard for r in hilbert.shard_documents(odd, 3).collect())
+    assert Counter(r.shard for r in back.select("shard").collect()) == want
+    hilbert.write_shards(none, str(tmp_path / "none"), 3)
+
+
 def test_rules_learn_what_labels_mark(frame, odd, none):
     rng = random.Random(8)
     word = lambda: "".join(rng.choice("etaoinsh") for _ in range(rng.randint(1, 8)))

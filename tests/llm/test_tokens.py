@@ -6,6 +6,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyarrow import orc
 from tokenizers import Tokenizer
 
 from greenwave.llm import packing, token_counts, token_files
@@ -42,6 +43,20 @@ def test_token_files_hold_every_text_in_order(spark, odd, none):
     assert token_files.token_index(spark, empty).count() == 0
 
 
+def test_repeated_ids_start_where_their_ids_lie(spark, frame):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(["ab", "cde", "f", "ghij", "\u00e9"], rng.integers(0, 30))) for _ in range(40)]
+    docs = frame([(7 if k % 4 else k if k % 8 else None, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    folder = new_table_path(spark, "test-tokens")
+    token_files.write_tokens(docs, folder, BYTES, 2)
+    files = [r.file for r in token_files.read_tokens(spark, folder).select("file").distinct().orderBy(*token_files._file_order()).collect()]
+    laid = np.array([i for f in files for row in orc.read_table(f"{folder}/{f}").column("ids").to_pylist() for i in row], "<u4")
+    got = token_files.token_index(spark, folder).collect()
+    assert len(got) == 40 and sum(r.n_tokens for r in got) == len(laid)
+    assert all(crc(laid[r.start:r.start + r.n_tokens]) == r.ids_crc32 for r in got)
+    assert sorted((r.doc_id or -1, r.n_tokens, r.ids_crc32) for r in got) == sorted((d or -1, len(x), crc(x)) for d, x in encoded(docs, BYTES, 2))
+
+
 def test_files_stand_in_the_order_of_their_tasks(frame):
     names = [f"part-{n}-x.zstd.orc" for n in ("00000", "00007", "99999", "100000", "250000")]
     got = [r.file for r in frame([(n,) for n in reversed(names)], "file string").orderBy(*token_files._file_order()).collect()]
