@@ -51,16 +51,20 @@ def camera_alerts(activity: DataFrame, cameras: DataFrame, today=None, days: int
 
 
 def _group_ramp_detectors(rows: DataFrame) -> DataFrame:
-    """Ramp meters: phase from the approach's first word, mainline detectors of an approach as one."""
-    same = Window.partitionBy("SignalID", "Detector")  # at most a few months of days
-    rows = rows.withColumn("ApproachDesc", F.max("ApproachDesc").over(same))
-    word = F.regexp_extract("ApproachDesc", "^[^ -]+", 0)
-    rows = rows.withColumns({
-        "CallPhase": F.when(word.isin("Mainline", "Passage", "Demand", "Queue"), word).otherwise("Other"),
-        "ApproachDesc": F.regexp_replace("ApproachDesc", r"Mainline-\S+", "Mainline")})
-    joined = rows.groupBy("SignalID", "ApproachDesc").agg(
-        F.array_join(F.array_sort(F.collect_set("Detector")), "/").alias("_det"))
-    return rows.join(joined, ["SignalID", "ApproachDesc"]).withColumn("Detector", F.col("_det")).drop("_det").distinct()
+    """Ramp meters: phase from the approach's first word, mainline detectors of an approach as one; other rows stay, repeats included.
+
+    One pass over all rows of a signal, which are a few months of days for each of its detectors.
+    """
+    ramp = F.coalesce(F.col("Zone") == RAMP_ZONE, F.lit(False))
+    text = F.max(F.when(ramp, F.col("ApproachDesc"))).over(Window.partitionBy("SignalID", "Detector"))
+    word = F.regexp_extract("_text", "^[^ -]+", 0)
+    rows = rows.withColumn("_text", text).withColumns({
+        "CallPhase": F.when(~ramp, F.col("CallPhase")).when(word.isin("Mainline", "Passage", "Demand", "Queue"), word).otherwise("Other"),
+        "ApproachDesc": F.when(ramp, F.regexp_replace("_text", r"Mainline-\S+", "Mainline")).otherwise(F.col("ApproachDesc"))})
+    together = F.collect_set(F.when(ramp, F.col("Detector"))).over(Window.partitionBy("SignalID", "ApproachDesc"))
+    rows = rows.withColumn("Detector", F.when(ramp, F.array_join(F.array_sort(together), "/")).otherwise(F.col("Detector")))
+    counted = rows.groupBy(*ALERT_COLUMNS).agg(F.count(F.lit(1)).alias("_n"))
+    return counted.select(*ALERT_COLUMNS, F.explode(F.array_repeat(F.lit(0), F.when(ramp, 1).otherwise(F.col("_n")).cast("int"))).alias("_i")).drop("_i")
 
 
 def alerts(parts: Sequence[DataFrame], today=None, days: int | None = 180, cap: int = 90) -> DataFrame:
@@ -73,12 +77,12 @@ def alerts(parts: Sequence[DataFrame], today=None, days: int | None = 180, cap:
         rows = rows.where(F.col("Date") > F.date_sub(F.lit(today).cast("date"), days))
     # signals without a corridor are not reported; a missing detector or phase is 0
     rows = rows.where(F.col("Corridor").isNotNull()).withColumns({c: F.coalesce(c, F.lit("0")) for c in ("Detector", "CallPhase")})
-    rows = rows.distinct()
+    # one layout by signal serves the distinct rows, every window and the grouping
+    rows = rows.repartition("SignalID").distinct()
     later = Window.partitionBy("SignalID", "Detector").orderBy(
         F.desc("Alert"), F.desc("CallPhase"), F.desc("Date")).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("ApproachDesc", F.coalesce(F.last("ApproachDesc", ignorenulls=True).over(later), F.lit("")))
-    ramp = F.coalesce(F.col("Zone") == RAMP_ZONE, F.lit(False))
-    rows = rows.where(~ramp).unionByName(_group_ramp_detectors(rows.where(ramp)).select(*ALERT_COLUMNS))
+    rows = _group_ramp_detectors(rows)
     keys = ["Zone_Group", "Zone", "SignalID", "CallPhase", "Detector", "Alert"]
     w = Window.partitionBy(*keys).orderBy("Date", "Corridor", "Name", "ApproachDesc")
     gap = F.datediff("Date", F.lag("Date").over(w))

@@ -20,13 +20,25 @@ TODAY = "2024-06-01"
 
 
 def streaks(src):
-    return f"""SELECT * FROM (WITH d AS (SELECT DISTINCT * REPLACE (CASE WHEN ramp THEN 'Ramp Meters' ELSE Zone END AS Zone) FROM (SELECT *, false AS ramp FROM (SELECT * REPLACE (coalesce(CAST(Detector AS VARCHAR), '0') AS Detector, coalesce(CAST(CallPhase AS VARCHAR), '0') AS CallPhase) FROM ({src}) WHERE Corridor IS NOT NULL)) WHERE Date > DATE '{TODAY}' - 180),
-    f AS (SELECT * REPLACE (coalesce(first_value(ApproachDesc IGNORE NULLS) OVER (PARTITION BY SignalID, Detector ORDER BY Alert, CallPhase NULLS FIRST, Date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), '') AS ApproachDesc) FROM d),
+    return f"""SELECT * FROM (WITH d AS (SELECT DISTINCT * FROM (SELECT * REPLACE (coalesce(CAST(Detector AS VARCHAR), '0') AS Detector, coalesce(CAST(CallPhase AS VARCHAR), '0') AS CallPhase) FROM ({src}) WHERE Corridor IS NOT NULL) WHERE Date > DATE '{TODAY}' - 180),
+    e AS (SELECT * REPLACE (coalesce(first_value(ApproachDesc IGNORE NULLS) OVER (PARTITION BY SignalID, Detector ORDER BY Alert, CallPhase NULLS FIRST, Date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), '') AS ApproachDesc) FROM d),
+    r1 AS (SELECT *, max(ApproachDesc) OVER (PARTITION BY SignalID, Detector) AS txt FROM e WHERE Zone = 'Ramp Meters'),
+    r2 AS (SELECT * EXCLUDE (txt) REPLACE (CASE WHEN regexp_extract(txt, '^[^ -]+') IN ('Mainline', 'Passage', 'Demand', 'Queue') THEN regexp_extract(txt, '^[^ -]+') ELSE 'Other' END AS CallPhase,
+      regexp_replace(txt, 'Mainline-\\S+', 'Mainline', 'g') AS ApproachDesc) FROM r1),
+    dets AS (SELECT SignalID, ApproachDesc, string_agg(DISTINCT Detector, '/' ORDER BY Detector) AS together FROM r2 GROUP BY ALL),
+    f AS (SELECT * FROM e WHERE Zone IS DISTINCT FROM 'Ramp Meters' UNION ALL SELECT DISTINCT * EXCLUDE (together) REPLACE (together AS Detector) FROM r2 JOIN dets USING (SignalID, ApproachDesc)),
     g AS (SELECT *, CASE WHEN Date - lag(Date) OVER w <= 1 THEN 0 ELSE 1 END AS nw FROM f WINDOW w AS (PARTITION BY Zone_Group, Zone, SignalID, CallPhase, Detector, Alert ORDER BY Date, Corridor NULLS FIRST, Name NULLS FIRST, ApproachDesc)),
     h AS (SELECT *, sum(nw) OVER (PARTITION BY Zone_Group, Zone, SignalID, CallPhase, Detector, Alert ORDER BY Date, Corridor NULLS FIRST, Name NULLS FIRST, ApproachDesc) AS run FROM g)
-    SELECT * EXCLUDE (nw, run, ramp), least(row_number() OVER (PARTITION BY Zone_Group, Zone, SignalID, CallPhase, Detector, Alert, run ORDER BY Date, Corridor NULLS FIRST, Name NULLS FIRST, ApproachDesc), 90) AS streak FROM h)"""
+    SELECT * EXCLUDE (nw, run), least(row_number() OVER (PARTITION BY Zone_Group, Zone, SignalID, CallPhase, Detector, Alert, run ORDER BY Date, Corridor NULLS FIRST, Name NULLS FIRST, ApproachDesc), 90) AS streak FROM h)"""
 
 
+# every fourth signal taken as a ramp meter: its zone, and detectors at the approaches of a ramp, two to a lane
+_RAMP_APPROACH = "CASE WHEN SignalID % 4 <> 1 THEN ApproachDesc WHEN Detector = 7 THEN 'Exit' WHEN Detector % 4 = 1 THEN 'Mainline-Lead' WHEN Detector % 4 = 2 THEN 'Mainline-Trail' WHEN Detector % 4 = 3 THEN 'Passage' ELSE 'Demand' END"
+_RAMP_LANE = "CASE WHEN SignalID % 4 = 1 THEN CAST(floor((Detector + 1) / 2) AS INTEGER) ELSE LaneNumber END"
+_RAMP_ZONE = "CASE WHEN SignalID % 4 = 1 THEN 'Ramp Meters' ELSE Zone END"
+_as_ramps = lambda sql: (sql.replace("LEFT JOIN det_config d", f"LEFT JOIN (SELECT * REPLACE ({_RAMP_APPROACH} AS ApproachDesc, {_RAMP_LANE} AS LaneNumber) FROM det_config) d")
+                         .replace("JOIN corridors c", f"JOIN (SELECT * REPLACE ({_RAMP_ZONE} AS Zone) FROM corridors) c"))
+AL["alerts_ramp"] = streaks(f"{_as_ramps(AL['a_det'])} UNION ALL {_as_ramps(AL['a_ped'])}")
 AL["alerts_all"] = streaks("SELECT * FROM a_det UNION ALL SELECT * FROM a_ped UNION ALL SELECT * FROM a_cam")
 
 
@@ -56,6 +68,17 @@ register("l2_camera_alerts", cam_alerts, "SELECT * FROM a_cam", extra=AL)
 register("l3_alert_streaks", all_alerts, "SELECT * FROM alerts_all", extra=AL)
 
 
+def ramp_alerts(t):
+    """Vehicle and push-button alerts with ramp meters among the signals."""
+    config = t.det_config.withColumns({"ApproachDesc": F.expr(_RAMP_APPROACH), "LaneNumber": F.expr(_RAMP_LANE)})
+    corridors = t.corridors.withColumn("Zone", F.expr(_RAMP_ZONE))
+    bad = t.kept("filtered_counts", lambda: filtered(t)).transform(ct.bad_detectors)
+    return al.alerts([al.bad_detector_alerts(bad, config, corridors), al.bad_ped_alerts(ped.bad_ped_inputs(kept_pau(t)), corridors)], TODAY)
+
+
+register("l3_ramp_alert_streaks", ramp_alerts, "SELECT * FROM alerts_ramp", extra=AL)
+
+
 def table_sql(alert, cond, floor, keep_approach):
     keys = "Zone, Corridor, SignalID, CallPhase, Detector, ApproachDesc, Name, Alert"
     tab = f"""SELECT {keys}, count(*) AS Occurrences, max(CASE WHEN Date = (SELECT max(Date) FROM alerts_all WHERE Alert = '{alert}') THEN streak ELSE 0 END) AS Streak

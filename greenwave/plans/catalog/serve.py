@@ -10,6 +10,7 @@ from greenwave.plans.catalog.ped_uptime import CAM, combined
 from greenwave.plans.catalog.rollups import midweek
 from greenwave.plans.metrics import METRICS
 from greenwave.plans.registry import register
+from greenwave.session import new_table_path
 from greenwave.sources import scan, sinks
 
 _mo_vpd = rs.monthly_avg_by_day(f"SELECT * FROM metrics_daily WHERE {rs.MIDWEEK}", "vpd")
@@ -136,6 +137,51 @@ register("p15_delay_cost_json", lambda t: scan.explode_daily_results(t.delay_cos
               F.struct("delay_cost").alias("combined")))).alias("values"))).alias("daily_results"))).alias("json"))).drop("d"),
          "SELECT Zone, Corridor, date, delay_cost FROM delay_costs", "delay_cost", 2)
 
+
+def responses(t):
+    """A response for every cost: nested or dotted cost, and fields that no schema names."""
+    h = F.hour("date")
+    at = F.date_format("date", "MMMM dd, yyyy HH:mm:ss").alias("date")
+    unit = F.struct(F.lit("USD").alias("currency"), F.array(h, h + 1).alias("parts.of")).alias("unit")
+    nested = F.to_json(F.struct(F.array(F.struct(F.array(F.struct(at, F.struct("delay_cost").alias("combined"), unit)).alias("values"))).alias("daily_results")))
+    dotted = F.to_json(F.struct(F.array(F.struct(F.array(F.struct(at, F.col("delay_cost").alias("combined.delay_cost"), unit)).alias("values"))).alias("daily_results")))
+    return t.delay_costs.select("Zone", "Corridor", F.col("date").alias("of"), F.when(h % 2 == 0, nested).otherwise(dotted).alias("json"))
+
+
+register("p15_open_daily_results", lambda t: scan.open_daily_results(responses(t)).select("Zone", "Corridor", "of", "date", "delay_cost", F.try_variant_get("value", "$.unit.currency", "string").alias("currency"),
+         F.size(F.try_variant_get("value", "$.unit['parts.of']", "array<variant>")).alias("n_parts")),
+         """SELECT Zone, Corridor, date AS "of", date, delay_cost, 'USD' AS currency, CAST(2 AS INTEGER) AS n_parts FROM delay_costs""", "delay_cost", 2)
+_H = 'CAST(hour("date") AS INTEGER)'
+register("p15_json_leaves", lambda t: scan.json_leaves(responses(t).select("Zone", "Corridor", "of", F.try_parse_json("json").alias("v")), "v").where("path not like '%delay_cost%' AND path not like '%date%'"),
+         f"""SELECT Zone, Corridor, date AS "of", '$[''daily_results''][0][''values''][0][''unit'']' || step AS path, kind, leaf FROM delay_costs, LATERAL (SELECT unnest(['[''currency'']', '[''parts.of''][0]', '[''parts.of''][1]']) AS step,
+         unnest(['STRING', 'BIGINT', 'BIGINT']) AS kind, unnest(['USD', CAST({_H} AS VARCHAR), CAST({_H} + 1 AS VARCHAR)]) AS leaf)""")
+
+
+def stored_events(t):
+    """Events stored by date, then read back for the dates of a calendar and counted by the reader's callback."""
+    root = new_table_path(t.spark, "events")
+    sinks.write_by_date(t.controller_events, root)
+    dates = new_table_path(t.spark, "dates")
+    t.controller_events.select(F.col("date").alias("Date"), F.dayofweek("date").alias("DOW")).distinct().write.parquet(dates)
+    busy = t.spark.read.parquet(dates).where("DOW IN (3, 4)")
+    return scan.read_range(t.spark, root, "2024-01-01", "2024-01-31", callback=lambda df: df.groupBy("Date", "SignalID", "EventCode").agg(F.count(F.lit(1)).alias("n")), days=busy)
+
+
+register("s1_stored_range", stored_events, """SELECT date AS Date, CAST(SignalID AS VARCHAR) AS SignalID, EventCode, count(*) AS n FROM controller_events WHERE date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31' AND dayofweek(date) IN (2, 3) GROUP BY ALL""")
+
+
+def bucketed_counts(t, buckets=16):
+    """Daily volumes by configured phase, from two tables stored with the same buckets."""
+    made = []
+    for df, name in ((t.counts_1hr.select("SignalID", "Detector", "Timeperiod", "vol"), "counts"), (t.det_config.select("SignalID", "Detector", "CallPhase"), "config")):
+        path = new_table_path(t.spark, name)
+        made.append(sinks.write_bucketed(df, path.rsplit("/", 1)[1].replace("-", "_"), path, buckets))
+    return made[0].join(made[1], ["SignalID", "Detector"]).groupBy("SignalID", "Detector", "CallPhase", tp.day("Timeperiod").alias("Date")).agg(F.sum("vol").alias("vol"))
+
+
+register("j1_bucketed_daily_counts", bucketed_counts, """SELECT SignalID, Detector, d.CallPhase, CAST(Timeperiod AS DATE) AS Date, CAST(sum(vol) AS BIGINT) AS vol
+FROM (SELECT SignalID, Detector, Timeperiod, vol FROM counts_1hr) c JOIN (SELECT SignalID, Detector, CallPhase FROM det_config) d USING (SignalID, Detector) GROUP BY ALL""")
+
 # ---- sinks ------------------------------------------------------------------
 DET = {**ADJ_SQL, "details": """SELECT SignalID, Timeperiod, Detector, CallPhase, CAST(r.vol AS INTEGER) AS vol_rc, CASE WHEN Good_Day = 0 THEN a.vol END AS vol_ac, Good_Day = 0 AS bad_day
     FROM counts_1hr r FULL JOIN filtered_1hr f USING (SignalID, Timeperiod, Detector, CallPhase) FULL JOIN adjusted_1hr a USING (SignalID, Timeperiod, Detector, CallPhase)"""}

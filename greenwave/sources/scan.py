@@ -10,12 +10,15 @@ from greenwave.functions import timeparts as tp
 
 
 def read_range(spark: SparkSession, root: str, start: str, end: str, signals: Sequence[int] | DataFrame | None = None,
-               callback: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+               callback: Callable[[DataFrame], DataFrame] | None = None, days: DataFrame | None = None) -> DataFrame:
     """A date range of a ``date=``-partitioned table; only its partitions are read.
 
-    Columns that start with '__' are dropped and ``Date`` comes from the partition.
+    Columns that start with '__' are dropped and ``Date`` comes from the partition.  ``days`` is a table of dates (its column
+    ``Date``), such as a filtered calendar: only rows of its dates are kept, and partitions without one are pruned while the query runs.
     """
     df = spark.read.parquet(root).where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    if days is not None:
+        df = df.join(days.select(F.col("Date").alias("_day")), F.col("date") == F.col("_day"), "left_semi")
     df = limit_signals(df.drop(*[c for c in df.columns if c.startswith("__")]), signals)
     df = df.withColumnRenamed("date", "Date")
     return callback(df) if callback else df
@@ -147,3 +150,40 @@ def explode_daily_results(text: DataFrame, column: str = "json") -> DataFrame:
     stamp = F.try_to_timestamp("_v.date", F.lit("MMMM d, yyyy HH:mm:ss")).cast("timestamp_ntz")
     cost = F.coalesce(F.col("_v.combined.delay_cost"), F.col("_v.`combined.delay_cost`"))
     return rows.select(*[c for c in text.columns if c != column], stamp.alias("date"), cost.alias("delay_cost"))
+
+
+def json_leaves(df: DataFrame, value: str, depth: int = 8) -> DataFrame:
+    """One row for each leaf of the VARIANT column ``value``: the other columns, path, kind and the leaf as text.
+
+    Nothing is known of the keys beforehand.  A path is a JSON path with quoted keys, so dotted keys stay one step.  JSON null, an empty object
+    or array, and what still has parts after ``depth`` levels are leaves too, the last as JSON text.  A missing document (SQL NULL) gives one
+    row with neither kind nor leaf.
+    """
+    spark = df.sparkSession
+    keep = [c for c in df.columns if c != value]
+    out = df.select(*keep, F.col(value).alias("_v"), F.lit("$").alias("path"))
+    for _ in range(depth):
+        parts = out.lateralJoin(spark.tvf.variant_explode_outer(F.col("_v").outer()))
+        step = F.when(F.col("key").isNotNull(), F.concat(F.lit("['"), F.regexp_replace("key", "(['\\\\])", r"\\$1"), F.lit("']"))).otherwise(
+            F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]")))
+        inner = F.col("pos").isNotNull()
+        out = parts.select(*keep, F.when(inner, F.col("value")).otherwise(F.col("_v")).alias("_v"),
+                           F.when(inner, F.concat("path", step)).otherwise(F.col("path")).alias("path"))
+    kind = F.schema_of_variant("_v")
+    whole = kind.startswith("OBJECT") | kind.startswith("ARRAY")
+    leaf = F.when(whole, F.to_json("_v")).otherwise(F.try_variant_get("_v", "$", "string"))
+    return out.select(*keep, "path", kind.alias("kind"), leaf.alias("leaf"))
+
+
+def open_daily_results(text: DataFrame, column: str = "json") -> DataFrame:
+    """Delay-cost responses as one row per value: date, delay_cost (nested or under a dotted key) and ``value``, all the value's fields as VARIANT.
+
+    Fields that no schema names stay in ``value``.  Texts that are NULL, no JSON or without values give no row.
+    """
+    keep = [c for c in text.columns if c != column]
+    days = text.select(*keep, F.try_variant_get(F.try_parse_json(column), "$.daily_results", "array<variant>").alias("_days"))
+    days = days.select(*keep, F.explode("_days").alias("_day"))
+    rows = days.select(*keep, F.explode(F.try_variant_get("_day", "$.values", "array<variant>")).alias("value"))
+    stamp = F.try_to_timestamp(F.try_variant_get("value", "$.date", "string"), F.lit("MMMM d, yyyy HH:mm:ss")).cast("timestamp_ntz")
+    cost = F.coalesce(F.try_variant_get("value", "$.combined.delay_cost", "double"), F.try_variant_get("value", "$['combined.delay_cost']", "double"))
+    return rows.select(*keep, stamp.alias("date"), cost.alias("delay_cost"), "value")

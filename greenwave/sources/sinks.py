@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from greenwave.functions import timeparts as tp
@@ -12,10 +13,12 @@ from greenwave.functions.stats import with_delta
 PERIODS = ("Quarter", "Month", "Date", "Hour", "Timeperiod")
 
 
-def write_by_date(df: DataFrame, root: str, cluster_by: Sequence[str] = ("SignalID",)) -> None:
+def write_by_date(df: DataFrame, root: str, cluster_by: Sequence[str] = ("SignalID",), spread: int = 1) -> None:
     """Overwrite exactly the dates present in ``df``; ids are stored as strings.
 
-    Rows are spread by date and signal, so a day is written by several tasks and files stay clustered.
+    Rows are rebalanced by date, so a date with many rows is cut into files of about ``spark.sql.adaptive.advisoryPartitionSizeInBytes``
+    and dates with few rows share a task; files are sorted by ``cluster_by``.  With ``spread`` a date is first cut into that many parts by the hash
+    of ``cluster_by``, so that a reader of one signal opens one part of a large date.
     """
     if "Date" not in df.columns:
         source = next(c for c in ("Timeperiod", "Hour", "Date_Hour", "Timestamp") if c in df.columns)
@@ -23,10 +26,26 @@ def write_by_date(df: DataFrame, root: str, cluster_by: Sequence[str] = ("Signal
     ids = [c for c in ("SignalID", "CallPhase", "Detector") if c in df.columns]
     out = df.withColumns({c: F.col(c).cast("string") for c in ids}).withColumnRenamed("Date", "date")
     keys = [c for c in cluster_by if c in out.columns]
-    out = out.repartition("date", *keys).sortWithinPartitions("date", *keys)
+    if spread > 1 and keys:
+        out = out.withColumn("_part", F.pmod(F.xxhash64(*keys), F.lit(spread))).hint("rebalance", "date", "_part").drop("_part")
+    else:
+        out = out.hint("rebalance", "date")
+    out = out.sortWithinPartitions("date", *keys)
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(root)
 
 
+def write_bucketed(df: DataFrame, name: str, folder: str, buckets: int, keys: Sequence[str] = ("SignalID", "Detector")) -> DataFrame:
+    """Store ``df`` as the table ``name``, bucketed and sorted by ``keys``, and read it back.
+
+    Joins of tables with equal buckets on ``keys``, and groupings that contain them, need no shuffle.  A bucket may consist of
+    several files (rows are rebalanced, a full bucket is written by several tasks), but a join reads it in one task: take keys none
+    of which holds a large share of the rows, such as signal and detector.
+    """
+    writer = df.hint("rebalance", *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    writer.option("path", folder).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def period_column(df: DataFrame) -> str:
     return next(c for c in PERIODS if c in df.columns)
 
@@ -46,28 +65,48 @@ def merge_window(old: DataFrame, new: DataFrame, value: str, report_start: str,
     return with_delta(both.drop("delta"), keys, period, value)
 
 
-def merge_batch(spark: SparkSession, plan: Sequence[tuple[DataFrame, str, str, str, str]], root: str) -> None:
+def merge_batch(spark: SparkSession, plan: Sequence[tuple[DataFrame, str, str, str, str]], root: str, keep: int = 3) -> None:
     """Merge a list of (new rows, table, value, report start, calc start) into stored tables.
 
-    Each merge writes a new version folder; readers take the newest one with a success marker, so a
-    lost job leaves the table as it was.
+    Each merge writes a whole new version and then notes its number in the table ``versions``; readers take the highest number noted, so
+    a lost job leaves the table as it was and may be run again.  The last ``keep`` versions stay: each has a place, and
+    a new one overwrites the oldest.
     """
+    if keep < 2:
+        raise ValueError("keep at least 2 versions: the one read and the one written")
     for new, table, value, report_start, calc_start in plan:
-        current = latest_version(spark, root, table)
-        merged = new if current is None else merge_window(spark.read.parquet(current), new, value, report_start, calc_start)
-        number = 0 if current is None else int(current.rsplit("v", 1)[1]) + 1
-        merged.write.mode("errorifexists").parquet(f"{root}/{table}/v{number:06d}")
+        number = _newest(spark, root, table)
+        merged = new if number is None else merge_window(spark.read.parquet(_place(root, table, number, keep)), new, value, report_start, calc_start)
+        following = 0 if number is None else number + 1
+        path = _place(root, table, following, keep)
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        note = spark.range(1).select(F.lit(following).cast("long").alias("number"), F.lit(path).alias("path"), F.lit(table).alias("table"))
+        note.write.mode("append").partitionBy("table").parquet(f"{root}/versions")
+
+
+def _place(root: str, table: str, number: int, keep: int) -> str:
+    return f"{root}/{table}/v{number % keep}"
+
+
+def versions(spark: SparkSession, root: str) -> DataFrame | None:
+    """number, path and table of every version noted, or None where there is none."""
+    try:
+        return spark.read.schema("number long, path string, table string").parquet(f"{root}/versions")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def _newest(spark: SparkSession, root: str, table: str) -> int | None:
+    noted = versions(spark, root)
+    return None if noted is None else noted.where(F.col("table") == table).agg(F.max("number")).first()[0]
 
 
 def latest_version(spark: SparkSession, root: str, table: str) -> str | None:
-    """Newest completely written version folder of a table (has its success marker), or None."""
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
-    fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(fs_path):
-        return None
-    names = [s.getPath() for s in fs.listStatus(fs_path)]
-    done = [p.toString() for p in names if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-    return max(done) if done else None
+    """Folder of the newest completely written version of a table, or None."""
+    noted = versions(spark, root)
+    return None if noted is None else noted.where(F.col("table") == table).agg(F.max_by("path", "number")).first()[0]
 
 
 def publish_rows(target: DataFrame, new: DataFrame, report_start: str, calc_start: str, report_end: str,
