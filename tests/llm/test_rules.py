@@ -5,6 +5,8 @@ import textwrap
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -225,3 +227,47 @@ def test_host_rules(frame, odd, none):
     got = {r.doc_id: r for r in host_rules.judge(frame(hosts, "doc_id long, text string, source string")).collect()}
     assert all(got[k].kept == (k % 10 > 0) for k in range(100)) and not any(got[100 + k].kept for k in range(100)) and got[301].kept
     assert host_rules.judge(odd).count() == odd.count() and host_rules.judge(none).count() == 0
+
+
+def test_host_verdicts_decide_rows(frame, tmp_path):
+    """Hosts that fail one rule much more often than all do lose their good rows too; the SQL and plain Python agree."""
+    rng = random.Random(11)
+    fine = lambda: " ".join(f"{rng.random():.9f}" for _ in range(60))
+    bad = {"short": lambda: "short", "symbols": lambda: fine() + " " + "#" * 200, "dup_lines": lambda: "\n".join(["x"] * 30 + fine().split()),
+           "repeats": lambda: " ".join(["one two three four"] * 20)}
+    rows = []
+    for host, n, rates in (("big", 700, {}), ("mixed", 300, {"symbols": 0.08, "short": 0.1}), ("symbols", 120, {"symbols": 0.4}), ("lines", 150, {"dup_lines": 0.5, "short": 0.02}),
+                           ("both", 200, {"repeats": 0.45, "symbols": 0.45}), ("tiny", 2, {"symbols": 1.0}), ("empty", 90, {"short": 0.7}), (None, 60, {"repeats": 0.05})):
+        for k in range(n):
+            share, text = k / n, fine()
+            for rule, rate in rates.items():
+                if 0 <= share < rate:
+                    text = bad[rule]()
+                share -= rate
+            rows.append((len(rows), text, host))
+    got = {r.doc_id: r for r in host_rules.judge(frame(rows, "doc_id long, text string, source string")).collect()}
+    of = {h: {got[d].host_rules for d, _, x in rows if x == h} for h in {x for *_, x in rows}}
+    assert of == {"big": {""}, "mixed": {""}, "symbols": {"symbols"}, "lines": {"dup_lines"}, "both": {"repeats,symbols"},
+                  "tiny": {""}, "empty": {"short"}, None: {""}}
+    decided = [d for d, r in got.items() if not r.base_failed and not r.kept]
+    assert len(decided) > 150 and all(r.kept == (not r.base_failed and r.host_rules == "") for r in got.values())
+
+    flags = {d: (10 * r.n_dup_lines > 3 * len([x for x in t.split("\n") if x.strip()]), 100 * r.n_repeat_words > 50 * r.n_words, r.n_words < 50, 10 * r.n_symbols > r.word_chars) for d, t, _ in rows for r in [got[d]]}
+    for i, rule in enumerate(("dup_lines", "repeats", "short", "symbols")):
+        by = defaultdict(list)
+        for d, _, h in rows:
+            by[h].append(flags[d][i])
+        n, f = len(rows), sum(map(sum, by.values()))
+        m = f / n
+        v = sum(sum(x) ** 2 / len(x) for x in by.values()) / n - m * m - m * (1 - m) * len(by) / n
+        w = min(1e6, max(1.0, m * (1 - m) / v - 1)) if v > 0 else 1e6
+        for h, x in by.items():
+            rate = (sum(x) + m * w) / (len(x) + w)
+            rejected = rate - 3 * (rate * (1 - rate) / (len(x) + w + 1)) ** 0.5 > max(0.2, min(0.5, 2 * m))
+            assert rejected == (rule in next(iter(of[h])).split(","))
+
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text", "source"]))
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rules"]
+    want = con.sql(f"SELECT {', '.join(names)} FROM ({host_rules.SQL})").fetchall()
+    assert sorted(want) == sorted(tuple(r[c] for c in names) for r in got.values())
