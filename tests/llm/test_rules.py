@@ -147,6 +147,40 @@ def test_hilbert_curve_visits_neighbours(spark):
     assert all(sum(abs(a - b) for a, b in zip(p, q)) == 1 for p, q in zip(way, way[1:]))
 
 
+def plain_place(cell, bits):
+    """The curve's index by whole numbers: undo the excess of each bit from the top, Gray code, then bits in turn."""
+    x, n = list(cell), len(cell)
+    for b in range(bits - 1, 0, -1):
+        q, p = 1 << b, (1 << b) - 1
+        for i in range(n):
+            if x[i] & q:
+                x[0] ^= p
+            else:
+                swap = (x[0] ^ x[i]) & p
+                x[0], x[i] = x[0] ^ swap, x[i] ^ swap
+    for i in range(1, n):
+        x[i] ^= x[i - 1]
+    turn = 0
+    for b in range(bits - 1, 0, -1):
+        if x[-1] & (1 << b):
+            turn ^= (1 << b) - 1
+    return int("".join(str(((v ^ turn) >> b) & 1) for b in range(bits - 1, -1, -1) for v in x), 2)
+
+
+def test_hilbert_index_and_runs_equal_plain_ones(frame):
+    rng = random.Random(6)
+    cells = [tuple(rng.randrange(32) for _ in range(3)) for _ in range(400)]
+    got = frame(cells, "x int, y int, z int").withColumn("h", hilbert.hilbert_index([F.col(c) for c in "xyz"], 5)).collect()
+    assert all(r.h == plain_place((r.x, r.y, r.z), 5) for r in got)
+    rows = [(k, "y" * rng.randint(0, 400), rng.choice(["de", "en", None]), f"s{rng.randrange(9)}") for k in range(1003)]
+    placed = hilbert.shard_documents(frame(rows, "doc_id long, text string, lang string, source string")).collect()
+    way = sorted(placed, key=lambda r: (r.shard, r.slot))
+    assert [r.hilbert for r in way] == sorted(r.hilbert for r in way)
+    # row k of n lies in the shard whose share of n it falls into
+    ends = [s * 1003 // 16 for s in range(17)]
+    assert all(ends[r.shard] + r.slot == k and k < ends[r.shard + 1] for k, r in enumerate(way))
+
+
 def test_shards_are_even_and_prunable(spark, frame, odd, none, tmp_path):
     rng = random.Random(3)
     rows = [(k if k % 50 else 7, "x" * rng.randint(0, 900), rng.choice(["de", "en", "fr", None]), rng.choice(["hot"] * 5 + [f"s{j}" for j in range(12)])) for k in range(3000)]
