@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from greenwave.session import new_table_path
+from greenwave.session import stored  # noqa: F401  (the operators import it from here)
 
 #: One or more of the six white-space characters that end a word.
 GAP = r"[\x20\x09-\x0D]+"
@@ -20,13 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet into the shared folder and read back: less space than a checkpoint where values repeat."""
-    path = new_table_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
     """Jobs that run inside send so many rows at a time to Python; the session's setting comes back afterwards.
