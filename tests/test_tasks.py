@@ -100,3 +100,25 @@ def test_hours_of_a_signal_move_once(spark):
     moved = shuffles(cor_vph(Tables(spark, "/root/testdata/sf0.001")))
     assert sum("hashpartitioning(SignalID" in text for text in moved) == 1
     assert not any("CallPhase" in text or "Date_Hour" in text for text in moved)
+
+
+def test_weights_move_by_corridor_only(spark):
+    from greenwave.plans.catalog.travel import cor_vph, weighted
+    from greenwave.sources.adapters import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    keyed = lambda df: [text.split("hashpartitioning(")[-1].split("),")[0] for text in shuffles(df)]
+    assert not any("Hour" in text for text in keyed(cor_vph(t)))
+    assert not any("Hour" in text or "hr#" in text for text in keyed(weighted(t)))
+
+
+def test_weights_of_places_and_hours_that_are_unknown(frame):
+    hour = lambda d, h: datetime(2024, 1, d, h)
+    ti = frame([(c, hour(1, h), 2.0) for c in ("a", "b", "none") for h in (7, 8)] + [("a", None, 3.0)], "Corridor string, Hour timestamp_ntz, tti double")
+    corridors = frame([("g", "z", "a"), ("g", "z", "a"), ("g", "y", "a"), ("g", None, "b")], "Zone_Group string, Zone string, Corridor string")
+    vph = [("g", "z", "a", hour(1, 7), 1.0), ("g", "z", "a", hour(1, 9), 3.0), ("g", None, "b", hour(1, 7), 5.0), ("g", None, "b", hour(1, 9), 5.0), ("g", "z", "a", None, 4.0)]
+    out = tv.weighted_travel_index(ti, frame(vph, "Zone_Group string, Zone string, Corridor string, Hour timestamp_ntz, vph double"), corridors)
+    got = sorted(((r.Corridor, r.Zone or "", -1 if r.hr is None else r.hr, r.tti, r.pct) for r in out.collect()))
+    one = [("a", "y", -1, 3.0, 1.0), ("a", "y", 7, 2.0, 1.0), ("a", "y", 8, 2.0, 1.0), ("a", "z", -1, 3.0, 1.0), ("a", "z", 7, 2.0, 0.25),
+           ("a", "z", 8, 2.0, 1.0), ("b", "", 7, 2.0, 1.0), ("b", "", 8, 2.0, 1.0), ("none", "", 7, 2.0, 1.0), ("none", "", 8, 2.0, 1.0)]
+    assert got == one
