@@ -8,7 +8,10 @@ which white space runs together, and texts with special strings, go to the libra
 
 from __future__ import annotations
 
+import gc
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 
@@ -35,6 +38,18 @@ def as_letters(text: str) -> str:
     return "".join(map(BYTE_LETTERS.__getitem__, text.encode("utf-8", "surrogatepass")))
 
 
+@contextmanager
+def _no_cycles() -> Iterator[None]:
+    """For steps that make very many small objects and no cycles: the search for cycles waits until they are done."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 class _Numbers(dict):
     """Chunk -> number, counted up as new chunks come."""
 
@@ -74,10 +89,13 @@ class Encoder:
         usual, texts, ended, odd = [], [], [], []
         words, sizes, flat = [], [], []  # chunks of one piece, how many ids each has, and all of those ids
         tokenize, space = self.model.tokenize, BYTE_LETTERS[0x20]
-        at = 0
-        while at < len(new):
-            n, c = known + at, new[at]
-            at += 1
+        for n, c in enumerate(new, known):  # the list may grow on the way
+            if c.isascii() and c.isalpha():  # the usual word, one piece
+                got = tokenize(space + c)
+                words.append(n)
+                sizes.append(len(got))
+                flat += [t.id for t in got]
+                continue
             if c[-1:] in _POINTS and c[-2:-1].isalnum():  # a point after a letter or digit is a piece of its own
                 ended.append((n, self.numbers[c[:-1]], self.points[c[-1]]))
                 new.extend(self.numbers.new)
@@ -160,7 +178,7 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All the ids, one text after another, and how many each text has; null is empty."""
         self._trim()
-        chunks: list[int] = []
+        chunks = [np.zeros(0, np.int64)]
         counts, slow = np.zeros(len(texts), np.int64), []
         number = self.numbers.__getitem__
         for k, t in enumerate(texts):
@@ -169,12 +187,13 @@ class Encoder:
             if "  " in t or "\n\n" in t or " \n" in t or "\n " in t or _FIRST in t or "<|" in t:
                 slow.append(k)
                 continue
-            before = len(chunks)
-            chunks.extend(map(number, (_FIRST + t.replace("\n", " \n " + _FIRST)).split(" ")))
-            counts[k] = len(chunks) - before
+            parts = (_FIRST + t.replace("\n", " \n " + _FIRST)).split(" ")
+            counts[k] = len(parts)
+            chunks.append(np.fromiter(map(number, parts), np.int64, len(parts)))
         if self.numbers.new:
-            self._learn()
-        which = np.array(chunks, np.int64)
+            with _no_cycles():
+                self._learn()
+        which = np.concatenate(chunks)
         self.uses += np.bincount(which, minlength=len(self.uses))
         lengths = self.length[which]
         ends = np.concatenate([[0], np.cumsum(counts)])

@@ -101,3 +101,26 @@ def test_counts_equal_the_library(spark, odd, none):
         got = token_counts.count_tokens(odd, WORDS, hot=hot).collect()
         assert sorted((r.doc_id or -1, r.n_bytes, r.n_tokens, r.over_limit) for r in got) == want
     assert token_counts.count_tokens(none, WORDS).count() == 0
+
+
+def test_new_words_are_learned_without_looking_for_cycles():
+    import gc
+    from greenwave.llm.tokens import Encoder
+
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("etaoinshé"), rng.integers(2, 9))) + str(rng.choice(["", "", ".", ",", "7", "中"])) for _ in range(20_000)]
+    texts = [" ".join(words[k:k + 500]) for k in range(0, len(words), 500)] + ["a\nnew line. And, more", "", None]
+    enc, learn, seen = Encoder(BYTES), Encoder._learn, []
+    note = lambda phase, info: seen.append(phase)
+
+    def watched():
+        gc.callbacks.append(note)
+        learn(enc)
+        gc.callbacks.remove(note)
+
+    enc._learn = watched
+    ids, sizes = enc.encode(texts)
+    assert not seen and gc.isenabled() and len(enc.numbers) > 10_000
+    tok = Tokenizer.from_file(BYTES)
+    want = [tok.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
