@@ -14,6 +14,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from greenwave.llm.common import spread
 
@@ -175,25 +177,31 @@ class Encoder:
             out.append(np.concatenate([np.array(self._ids(p), np.uint32) for p in parts]))
         return out
 
+    def _numbered(self, marked: list[str]) -> np.ndarray:
+        """The numbers of all chunks, one text after another.  Each different chunk of the batch is looked up once."""
+        if not marked:
+            return np.zeros(0, np.int64)
+        chunks = pc.split_pattern(pa.array([" ".join(marked)], pa.large_string()), " ").values.dictionary_encode()
+        different = chunks.dictionary.to_numpy(zero_copy_only=False).tolist()
+        return np.fromiter(map(self.numbers.__getitem__, different), np.int64, len(different))[chunks.indices.to_numpy()]
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All the ids, one text after another, and how many each text has; null is empty."""
         self._trim()
-        chunks = [np.zeros(0, np.int64)]
+        marked: list[str] = []
         counts, slow = np.zeros(len(texts), np.int64), []
-        number = self.numbers.__getitem__
         for k, t in enumerate(texts):
             if not t:
                 continue
             if "  " in t or "\n\n" in t or " \n" in t or "\n " in t or _FIRST in t or "<|" in t:
                 slow.append(k)
                 continue
-            parts = (_FIRST + t.replace("\n", " \n " + _FIRST)).split(" ")
-            counts[k] = len(parts)
-            chunks.append(np.fromiter(map(number, parts), np.int64, len(parts)))
+            marked.append(_FIRST + t.replace("\n", " \n " + _FIRST))
+            counts[k] = marked[-1].count(" ") + 1
+        which = self._numbered(marked)
         if self.numbers.new:
             with _no_cycles():
                 self._learn()
-        which = np.concatenate(chunks)
         self.uses += np.bincount(which, minlength=len(self.uses))
         lengths = self.length[which]
         ends = np.concatenate([[0], np.cumsum(counts)])

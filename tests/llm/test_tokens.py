@@ -124,3 +124,26 @@ def test_new_words_are_learned_without_looking_for_cycles():
     tok = Tokenizer.from_file(BYTES)
     want = [tok.encode(t or "", add_special_tokens=False).ids for t in texts]
     assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+def test_a_chunk_that_repeats_in_a_batch_is_looked_up_once():
+    from greenwave.llm import tokens
+
+    class Watched(tokens._Numbers):
+        asked = 0
+
+        def __getitem__(self, chunk):
+            Watched.asked += 1
+            return super().__getitem__(chunk)
+
+    texts = ["one two one two, one\ntwo " * 300 + "end", None, "", "é中 one\x00 \r x", "one", "\n", " ", "a  b", "two <|endoftext|> one"]
+    enc = tokens.Encoder(BYTES)
+    enc.numbers = Watched()
+    tok = Tokenizer.from_file(BYTES)
+    want = [tok.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for _ in range(2):  # new chunks, then known ones
+        ids, sizes = enc.encode(texts)
+        assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert 0 < Watched.asked < 100
+    ids, sizes = enc.encode([None, ""])
+    assert ids.tolist() == [] and sizes.tolist() == [0, 0]
