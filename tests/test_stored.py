@@ -5,11 +5,11 @@ from collections import Counter
 from datetime import date, datetime, timedelta
 
 import pytest
-from plans import scans
+from plans import executed, scans
 from pyspark.sql import functions as F
 
 from greenwave.functions import sketches as sk
-from greenwave.operators import counts as ct
+from greenwave.operators import counts as ct, rollup as ru
 from greenwave.operators.lattice import lattice, partial_sums
 from greenwave.session import new_table_path
 from greenwave.sources import incremental as inc, sinks
@@ -54,6 +54,29 @@ def test_all_levels_read_the_facts_once(spark, frame):
     assert len(empty) == 2 * 3
 
 
+def test_levels_are_made_where_signals_and_corridors_lie(spark, frame):
+    rng = random.Random(4)
+    rows = [(s, p, date(2024, 1, 1) + timedelta(days=d), 366 + d // 7, datetime(2024, 1, 1, h) + timedelta(days=d), rng.choice([None, 0.5, 0.25]), rng.choice([None, 1.0, 3.0]))
+            for s in (1, 2, 3, 4, None) for p in (2, 4) for d in (0, 1, 9, 40) for h in (7, 12, 17) if rng.random() < 0.8]
+    facts = frame(rows, "SignalID int, CallPhase int, Date date, Week int, Date_Hour timestamp_ntz, x double, w double")
+    # signal 1 in two corridors, signal 2 listed twice, signal 3 in a corridor named like its zone, one zone in two groups
+    places = [(1, "C1", "Z1", "G"), (1, "C2", "Z1", "G"), (2, "C1", "Z1", "H"), (2, "C1", "Z1", "H"), (3, "Z2", "Z2", "G"), (4, None, "Z2", "G"), (4, "C4", None, None), (3, "C5", "Z1", "G"), (3, "C5", "Z1", "H")]
+    corridors = frame(places, "SignalID int, Corridor string, Zone string, Zone_Group string")
+    levels = lattice(facts, corridors, "x", "w")
+    ran = executed(levels)
+    assert [text for kind, text in ran if kind == "FileSourceScanExec" and "_xw" in text]  # sums lie in Parquet
+    moved = [text for kind, text in ran if kind == "ShuffleExchangeExec" and "SinglePartition" not in text]
+    assert len(moved) <= 8
+    dealt = [text for text in moved if "REPARTITION_BY_NUM" in text]
+    assert len(dealt) == 3 and sum("hashpartitioning(SignalID" in text for text in dealt) == 2 and sum("hashpartitioning(Corridor" in text for text in dealt) == 1
+    want = []
+    for time, signal, roll in (("day", ru.daily_avg(facts, "x", "w", True), "Date"), ("week", ru.weekly_avg_by_day(facts, "x", "w", True), "Date"), ("month", ru.monthly_avg_by_day(facts, "x", "w", True), "Month")):
+        want += [(time, "signal", None, None if r.SignalID is None else str(r.SignalID), r[roll], r.x, r.w, r.delta) for r in signal.collect()]
+        want += [(time, "corridor", r.Zone_Group, r.Corridor, r[roll], r.x, r.w, r.delta) for r in ru.corridor_rollup(signal.drop("delta", "Week"), corridors, "x", roll, "w").collect()]
+    tidy = lambda rows: sorted(repr(tuple(round(v, 9) if isinstance(v, float) else v for v in r)) for r in rows)
+    assert tidy(levels.collect()) == tidy(want) and len(want) > 80
+
+
 def log(seed, n=3000, days=6):
     rng = random.Random(seed)
     out = [(rng.randrange(1, 4), T0 + timedelta(minutes=rng.randrange(days * 1440)), rng.choice([82, 90, 502, 503, 1]), rng.choice([1, 2, 3, None])) for _ in range(n)]
