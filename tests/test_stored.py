@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 from datetime import date, datetime, timedelta
+from types import SimpleNamespace
 
 import pytest
 from plans import executed, scans
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from greenwave.functions import sketches as sk
 from greenwave.operators import counts as ct, rollup as ru
 from greenwave.operators.lattice import lattice, partial_sums
-from greenwave.session import new_table_path
+from greenwave.plans.catalog.serve import details
+from greenwave.session import new_table_path, stored
 from greenwave.sources import incremental as inc, sinks
 
 T0 = datetime(2024, 1, 1)
@@ -77,6 +79,33 @@ def test_levels_are_made_where_signals_and_corridors_lie(spark, frame):
     assert tidy(levels.collect()) == tidy(want) and len(want) > 80
 
 
+def test_details_are_nested_where_the_signal_lies(spark, frame):
+    rng = random.Random(6)
+    phase = {1: 2, 2: 2, 3: 4, 4: None}
+    rows = [(s, T0 + timedelta(days=d, hours=h), k, phase[k], rng.choice([0, 50, 90, 100]) if k != 3 or d else 7)
+            for s in (1, 2, 3, None) for k in phase for d in range(9) for h in range(24) if rng.random() < 0.8]
+    counts = frame(rows, "SignalID int, Timeperiod timestamp_ntz, Detector int, CallPhase int, vol long")
+    config = frame([(s, k, p, "EB Mainline" if k == 1 else "Side") for s in (1, 2, 5) for k, p in phase.items()], "SignalID int, Detector int, CallPhase int, ApproachDesc string")
+    kept = {}
+    t = SimpleNamespace(counts_1hr=counts, det_config=config, kept=lambda name, make, packed=False: kept.setdefault(name, stored(make(), name)))
+    nested = details(t)
+    moved = [text for kind, text in executed(nested) if kind == "ShuffleExchangeExec"]
+    assert list(kept) == ["counts_1hr"] and not any("Timeperiod" in text or "date" in text for text in moved)
+    assert sum("hashpartitioning(SignalID" in text and "REPARTITION_BY_NUM" in text for text in moved) == 2
+    cells = {}
+    filtered = ct.filtered_counts(counts, config)
+    for at, part in enumerate((counts.select("*", F.col("vol").alias("v")), filtered.withColumn("v", F.col("Good_Day")), ct.adjusted_counts(filtered).withColumn("v", F.col("vol").cast("int")))):
+        for r in part.collect():
+            cells.setdefault((r.SignalID, r.Timeperiod, r.Detector, r.CallPhase), [None] * 3)[at] = r.v
+    want = {}
+    for (s, ts, k, p), (raw, good, adjusted) in cells.items():
+        bad = None if good is None else good == 0
+        want.setdefault((s, ts.date()), []).append((ts.hour, k, p, raw, adjusted if bad else None, bad))
+    got = {(r.SignalID, r.date): sorted(map(repr, map(tuple, r.data))) for r in nested.collect()}
+    assert got == {key: sorted(map(repr, v)) for key, v in want.items()}
+    assert {x[5] for v in want.values() for x in v} == {True, False, None} and any(x[4] is not None for v in want.values() for x in v)
+
+
 def log(seed, n=3000, days=6):
     rng = random.Random(seed)
     out = [(rng.randrange(1, 4), T0 + timedelta(minutes=rng.randrange(days * 1440)), rng.choice([82, 90, 502, 503, 1]), rng.choice([1, 2, 3, None])) for _ in range(n)]
